@@ -94,7 +94,7 @@ def describe(text: str, c: tuple[int, int, str, int]) -> list[float]:
     parts = s.split(".")
     groups = re.findall(r"\d+", s)
     quad = len(parts) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) < 256 for p in parts)
-    near = " ".join(before.split()[-3:])
+    near = " ".join(re.split(r"\n|[.!?] ", before)[-1].split()[-2:])
     longest = max(map(len, groups), default=0)
     return [
         KINDS.index(kind), n, len(digits), upper, lower, n - len(digits) - upper - lower, entropy(s), len(digits) / n, len(parts), quad,
@@ -182,6 +182,8 @@ def examples(n: int = FIT_EXAMPLES, seed: int = 5) -> tuple[np.ndarray, np.ndarr
         good = r.random() < 0.5
         key, span = (_personal if good else _harmless)(r)
         left = " ".join(word() for _ in range(r.randint(0, 8)))
+        if r.random() < 0.15:  # a word of either kind of context says little by itself
+            left += " " + r.choice(["version", "license", "order", "page", "phone", "mail", "card", "CC BY-NC"])
         left = left + r.choice([" ", " ", " ", ". ", ", ", "\n"]) if left else ""
         right = r.choice([" ", " ", " ", ". ", ", ", "\n", ""]) + " ".join(word() for _ in range(r.randint(0, 6)))
         quote = '"' if key.endswith('"') else ""
