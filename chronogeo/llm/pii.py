@@ -41,6 +41,7 @@ GENERATORS = {
     "KEYED": re.compile(r"""(?P<key>\b\w{2,40})["']?\s{0,3}[=:]\s{0,3}["']?(?P<value>[^\s"',;<>]{4,200})"""),
     "TOKEN": re.compile(r"(?<![\w/+=-])[A-Za-z0-9_/+=-]{12,200}(?![\w/+=-])"),
 }
+_LONG = re.compile(r"\d{9,19}")
 _SENSITIVE = re.compile(r"pass|pwd|secret|token|key|auth|cred|bearer|login|api", re.I)
 _PERSONAL = re.compile(r"(?:\b|_)(?:e-?mail|mail|phone|call|tel|mobile|fax|ssn|social|security|card|visa|account|iban|contact|address|ip|host|server|from)(?:\b|_)", re.I)
 _HARMLESS = re.compile(r"\b(?:version|v|release|chapter|section|page|isbn|order|invoice|issue|commit|sha|revision|build|licen[sc]e|public|date|year|total|price|amount|figure|table|ratio|score|rfc|step|line|BY-NC|CC)\b", re.I)
@@ -77,6 +78,9 @@ def candidates(text: str) -> list[tuple[int, int, str, int]]:
                     out.append((*m.span(), kind, m.start()))
             elif kind != "COLONS" or any(c.isalnum() for c in m.group()):
                 out.append((*m.span(), kind, m.start()))
+                if kind == "NUMBER":  # long groups of a spaced number also stand by themselves
+                    alone = [g.span() for g in _LONG.finditer(text, *m.span()) if g.span() != m.span()]
+                    out += [(*g, kind, g[0]) for g in alone]
     return out
 
 

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from . import langid, mixing, quality, substring_dedup
+from . import chat, decontaminate, langid, mixing, pii, quality, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
+    "op5_benchmark_decontamination": decontaminate.query,
+    "op6_pii": pii.query,
     "op7_quality_classifier": quality.query,
     "op8_language_id": langid.query,
+    "op9_chat_formatting": chat.query,
     "op10_mixing_sources": mixing.query,
 }
 
 ORACLES = {
     "op1_substring_dedup": substring_dedup.SQL,
+    "op9_chat_formatting": chat.SQL,
     "op10_mixing_sources": mixing.SQL,
 }
