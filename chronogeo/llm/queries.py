@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, langid, mixing, pii, quality, substring_dedup
+from . import chat, decontaminate, jaccard_join, langid, mixing, pii, quality, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
+    "op2_ngram_jaccard_join": jaccard_join.query,
     "op5_benchmark_decontamination": decontaminate.query,
     "op6_pii": pii.query,
     "op7_quality_classifier": quality.query,
@@ -16,6 +17,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_substring_dedup": substring_dedup.SQL,
+    "op2_ngram_jaccard_join": jaccard_join.SQL,
     "op9_chat_formatting": chat.SQL,
     "op10_mixing_sources": mixing.SQL,
 }
