@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, jaccard_join, langid, mixing, pii, quality, substring_dedup
+from . import chat, decontaminate, jaccard_join, langid, mixing, pii, quality, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
     "op2_ngram_jaccard_join": jaccard_join.query,
+    "op4_suffix_array_dedup": suffix_dedup.query,
     "op5_benchmark_decontamination": decontaminate.query,
     "op6_pii": pii.query,
     "op7_quality_classifier": quality.query,
@@ -18,6 +19,7 @@ QUERIES = {
 ORACLES = {
     "op1_substring_dedup": substring_dedup.SQL,
     "op2_ngram_jaccard_join": jaccard_join.SQL,
+    "op4_suffix_array_dedup": suffix_dedup.SQL,
     "op9_chat_formatting": chat.SQL,
     "op10_mixing_sources": mixing.SQL,
 }
