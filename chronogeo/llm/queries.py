@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, jaccard_join, langid, mixing, pii, quality, substring_dedup, suffix_dedup
+from . import ann, chat, decontaminate, jaccard_join, langid, mixing, pii, quality, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
     "op2_ngram_jaccard_join": jaccard_join.query,
+    "op3_nearest_neighbours": ann.query,
     "op4_suffix_array_dedup": suffix_dedup.query,
     "op5_benchmark_decontamination": decontaminate.query,
     "op6_pii": pii.query,
