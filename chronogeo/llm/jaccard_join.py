@@ -13,8 +13,9 @@ equal sets are collapsed to one set; the distinct sets are joined exactly at Jac
    strength tau + 1, so that tau errors cannot break all that it shares with a match.
 3. Candidates. Signatures are sent, packed, to one task per bucket of their hashes.  A posting does not become all pairs
    of its sets but a star about its least member, so a group of thousands of near copies costs a few edges per member.
-4. Verification. A star's sets go to one task (to a triangle of tasks, if there are many), each set once, and all pairs in
-   it are intersected.
+4. Verification. A star's sets go to one task (to a triangle of tasks, if there are many), first as bitmaps, a fraction of
+   their size, which tell for most pairs that they share too little.  Pairs that are left are shared out, each to one star,
+   whose sets go to its task in full, to be intersected.
 """
 
 from __future__ import annotations
@@ -298,11 +299,43 @@ def _compare(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> t
     return i[cross], j[cross], o[cross]
 
 
-def verified(docs: DataFrame, edges: DataFrame, sets: DataFrame, buckets: int) -> DataFrame:
-    """(x, y, overlap, sx, sy): digests, x < y as signed numbers, of the pairs at THETA or more."""
-    members = edges.select("leader", "member").union(edges.select("leader", F.col("leader").alias("member")).distinct())
-    many = edges.groupBy("leader").agg((F.count("*") + 1).alias("m"))
-    big = many.where(F.col("m") > STAR)
+def bitmap(h: np.ndarray) -> np.ndarray:
+    """A set's grams as bits, in a power of two of at least two bits a gram."""
+    width = 1 << max(6, int(2 * len(h) - 1).bit_length())
+    bits = np.zeros(width, bool)
+    bits[(h & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits).view(np.uint64)
+
+
+def sift(size: np.ndarray, maps: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of the pairs that can reach THETA by size and bitmaps; each bit by which two maps differ is a gram that they don't share.
+
+    Maps of sizes that can match differ in width by a factor of two at most, and the wider is folded.
+    """
+    p, q = THETA
+    out = []
+    words = np.array([len(x) for x in maps])
+    for w in np.unique(words):
+        at = np.flatnonzero((words == w) | (words == 2 * w))
+        x = np.stack([maps[k] if len(maps[k]) == w else maps[k][:w] | maps[k][w:] for k in at])
+        step = max(1, (2 << 20) // max(1, w * len(at)))
+        for a in range(0, len(at), step):
+            i, j = np.meshgrid(np.arange(a, min(a + step, len(at))), np.arange(len(at)), indexing="ij")
+            i, j = i.ravel(), j.ravel()
+            u, v = at[i], at[j]
+            s = size[u] + size[v]
+            fit = (i < j) & ((words[u] == w) | (words[v] == w)) & (q * np.minimum(size[u], size[v]) >= p * np.maximum(size[u], size[v])) & ((first[u] & second[v]) | (first[v] & second[u]))
+            i, j, u, v, s = i[fit], j[fit], u[fit], v[fit], s[fit]
+            apart = np.bitwise_count(x[i] ^ x[j]).sum(1, dtype=np.int64)
+            good = (p + q) * (s - apart) >= 2 * p * s
+            out.append((u[good], v[good]))
+    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+
+
+def _shipped(docs: DataFrame, members: DataFrame, sets: DataFrame, buckets: int, as_bits: bool) -> DataFrame:
+    """(leader, i, j, own, digest, size, body): the sets of each star's members, as bitmaps or in full, in the star's tasks."""
+    members = members.distinct()
+    big = members.groupBy("leader").agg(F.count("*").alias("m")).where(F.col("m") > STAR)
     g = F.expr(f"(coalesce(m, 1) + {STAR - 1}) div {STAR}")
     routed = members.join(big, "leader", "left").withColumn("g", g).withColumn("own", F.pmod(F.hash("member"), F.col("g")))
     routed = routed.withColumn("other", F.explode(F.expr("sequence(0L, g - 1)")))
@@ -322,52 +355,84 @@ def verified(docs: DataFrame, edges: DataFrame, sets: DataFrame, buckets: int) -
         lead, ci, cj, own = (np.asarray(flat.field(k)) for k in ("leader", "i", "j", "own"))
         for first, last in _pieces(off):
             h, _, bounds = gram_sets(Words(data, off, first, last))
-            dig, low = digests(h, bounds), h.astype(np.uint32)
-            rows: dict[str, list] = {k: [] for k in ("at", "digest", "grams")}
+            dig = digests(h, bounds)
+            rows: dict[str, list] = {k: [] for k in ("at", "digest", "size", "body")}
             for d in np.flatnonzero(dig == want[first:last]):
-                x = np.sort(low[bounds[d] : bounds[d + 1]]).tobytes()
+                own_set = h[bounds[d] : bounds[d + 1]]
+                x = bitmap(own_set).tobytes() if as_bits else np.sort(own_set.astype(np.uint32)).tobytes()
                 for t in range(tb[first + d], tb[first + d + 1]):
                     rows["at"].append(t)
                     rows["digest"].append(dig[d])
-                    rows["grams"].append(x)
+                    rows["size"].append(len(own_set))
+                    rows["body"].append(x)
             t = np.array(rows["at"], np.int64)
-            yield pa.record_batch({"leader": i64(lead[t]), "i": i64(ci[t]), "j": i64(cj[t]), "own": i64(own[t]), "digest": signed(np.array(rows["digest"], np.uint64)), "grams": pa.array(rows["grams"], pa.binary())})
+            yield pa.record_batch({"leader": i64(lead[t]), "i": i64(ci[t]), "j": i64(cj[t]), "own": i64(own[t]), "digest": signed(np.array(rows["digest"], np.uint64)), "size": i64(np.array(rows["size"], np.int64)), "body": pa.array(rows["body"], pa.binary())})
+
+    out = arrow_map(fetched, ship, "leader long, i long, j long, own long, digest long, size long, body binary")
+    return out.repartition(buckets, "leader", "i", "j")
+
+
+def _stars_of(it):
+    """(leader, digests, sizes, bodies, in the first part, in the second part) of each star of a task."""
+    cols = {k: [] for k in ("leader", "i", "j", "own", "digest", "size")}
+    body: list = []
+    for b in it:
+        for k in cols:
+            cols[k].append(np.asarray(b.column(k)))
+        body += b.column("body").to_pylist()
+    if not body:
+        return
+    c = {k: np.concatenate(v) for k, v in cols.items()}
+    order = np.lexsort((c["digest"], c["j"], c["i"], c["leader"]))
+    c = {k: v[order] for k, v in c.items()}
+    edge = np.flatnonzero(np.concatenate([[True], (np.diff(c["leader"]) != 0) | (np.diff(c["i"]) != 0) | (np.diff(c["j"]) != 0)]))
+    for a, z in zip(edge, np.append(edge[1:], len(order))):
+        dig, keep = np.unique(c["digest"][a:z], return_index=True)  # rows that repeat a document bring its set twice
+        if len(dig) > 1:
+            own = c["own"][a:z][keep]
+            yield c["leader"][a], dig, c["size"][a:z][keep], [body[k] for k in order[a:z][keep]], own == c["i"][a], own == c["j"][a]
+
+
+def _rows(names: tuple[str, ...], parts):
+    """Record batches of some size from tuples of arrays."""
+    held, n = [], 0
+    for x in parts:
+        held.append(x)
+        n += len(x[0])
+        if n > 500_000:
+            yield pa.record_batch({k: i64(np.concatenate(v)) for k, v in zip(names, zip(*held))})
+            held, n = [], 0
+    if held:
+        yield pa.record_batch({k: i64(np.concatenate(v)) for k, v in zip(names, zip(*held))})
+
+
+def verified(docs: DataFrame, edges: DataFrame, sets: DataFrame, buckets: int) -> DataFrame:
+    """(x, y, overlap, sx, sy): digests, x < y as signed numbers, of the pairs at THETA or more."""
+
+    def likely(it):
+        def parts():
+            for lead, dig, size, body, first, second in _stars_of(it):
+                i, j = sift(size, [np.frombuffer(x, np.uint64) for x in body], first, second)
+                x, y = np.minimum(dig[i], dig[j]), np.maximum(dig[i], dig[j])
+                yield x, y, np.full(len(x), lead)
+
+        yield from _rows(("x", "y", "leader"), parts())
 
     def verify(it):
-        cols = {k: [] for k in ("leader", "i", "j", "own", "digest")}
-        grams: list = []
-        for b in it:
-            for k in cols:
-                cols[k].append(np.asarray(b.column(k)))
-            grams += b.column("grams").to_pylist()
-        if not grams:
-            return
-        c = {k: np.concatenate(v) for k, v in cols.items()}
-        order = np.lexsort((c["digest"], c["j"], c["i"], c["leader"]))
-        c = {k: v[order] for k, v in c.items()}
-        edge = np.flatnonzero(np.concatenate([[True], (np.diff(c["leader"]) != 0) | (np.diff(c["i"]) != 0) | (np.diff(c["j"]) != 0)]))
-        out, held = [], 0
-        for a, z in zip(edge, np.append(edge[1:], len(order))):
-            dig, keep = np.unique(c["digest"][a:z], return_index=True)  # rows that repeat a document bring its set twice
-            if len(dig) < 2:
-                continue
-            sets = [np.frombuffer(grams[k], np.uint32) for k in order[a:z][keep]]
-            own = c["own"][a:z][keep]
-            i, j, o = _compare(sets, own == c["i"][a], own == c["j"][a])
-            n = np.array([len(x) for x in sets], np.int64)
-            out.append((dig[i], dig[j], o, n[i], n[j]))
-            held += len(i)
-            if held > 500_000:
-                yield _pairs(out)
-                out, held = [], 0
-        if out:
-            yield _pairs(out)
-
-    def _pairs(out):
-        return pa.record_batch({k: i64(np.concatenate(v)) for k, v in zip(("x", "y", "overlap", "sx", "sy"), zip(*out))})
-
-    shipped = arrow_map(fetched, ship, "leader long, i long, j long, own long, digest long, grams binary")
-    return shipped.repartition(buckets, "leader", "i", "j").mapInArrow(verify, "x long, y long, overlap long, sx long, sy long").dropDuplicates(["x", "y"])
+        def parts():
+            for _, dig, size, body, first, second in _stars_of(it):
+                i, j, o = _compare([np.frombuffer(x, np.uint32) for x in body], first, second)
+                yield dig[i], dig[j], o, size[i], size[j]
+
+        yield from _rows(("x", "y", "overlap", "sx", "sy"), parts())
+
+    members = edges.select("leader", "member").union(edges.select("leader", F.col("leader").alias("member")))
+    pairs = _shipped(docs, members, sets, buckets, True).mapInArrow(likely, "x long, y long, leader long")
+    # a pair that several stars propose is left to one of them, so that near copies go there together and once
+    pairs = cut(pairs.groupBy("x", "y").agg(F.min("leader").alias("leader")))
+    members = pairs.select("leader", F.col("x").alias("member")).union(pairs.select("leader", F.col("y").alias("member")))
+    full = _shipped(docs, members, sets, buckets, False)
+    return full.mapInArrow(verify, "x long, y long, overlap long, sx long, sy long").dropDuplicates(["x", "y"])
 
 
 def join(docs: DataFrame) -> DataFrame:
