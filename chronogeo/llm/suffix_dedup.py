@@ -194,38 +194,43 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     near = arrow_map(found.select("id", "u", "text", "at"), fetch, "key long, id long, u long, pos int, ctx binary")
     marks = near.repartition(buckets, "key").mapInArrow(compare, "u long, pos int, mask long, least long")
-    marks = cut(marks.groupBy("u").agg(F.collect_set(F.struct("pos", "mask", "least")).alias("marks")))
-    size = marks.agg(F.count("*"), F.sum(F.size("marks"))).first()
-    full = d.join(small(marks, 1, 40 * size[0] + 48 * (size[1] or 0)), "u")
+
+    def islands(it):
+        cols = {k: [] for k in ("u", "pos", "mask", "least")}
+        for b in it:
+            for k in cols:
+                cols[k].append(np.asarray(b.column(k)))
+        if not cols["u"]:
+            return
+        u, pos, mask, least = map(np.concatenate, cols.values())
+        row, back = np.nonzero((mask[:, None] >> np.arange(WINDOW)) & 1)
+        u, start, least = u[row], pos[row].astype(np.int64) - back, least[row]
+        order = np.lexsort((start, u))
+        u, start, least = u[order], start[order], least[order]
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(u) != 0) | (np.diff(start) > LENGTH)]))
+        yield pa.record_batch({"u": i64(u[new]), "first": i64(start[new]), "last": i64(start[np.append(new[1:], len(start)) - 1] + LENGTH), "least": i64(np.minimum.reduceat(least, new))})
+
+    # spans are few, and only they go to the texts again, for their character offsets
+    found = marks.repartition(buckets, "u").mapInArrow(islands, "u long, first long, last long, least long")
+    found = cut(found.groupBy("u").agg(F.collect_list(F.struct("first", "last", "least")).alias("spans")))
+    size = found.agg(F.count("*"), F.sum(F.size("spans"))).first()
+    full = d.join(small(found, 1, 40 * size[0] + 48 * (size[1] or 0)), "u")
 
     def spans(b: pa.RecordBatch):
         data, off = buffer_of(b.column("text"))
-        ids, m = np.asarray(b.column("id")), b.column("marks")
+        ids, m = np.asarray(b.column("id")), b.column("spans")
         flat, mb = m.flatten(), np.asarray(m.offsets)
         mb = mb - mb[0]
-        mp, mm, ml = (np.asarray(flat.field(k)) for k in ("pos", "mask", "least"))
+        begin, end, low = (np.asarray(flat.field(k)) for k in ("first", "last", "least"))
         for first, last in pieces(off):
             w = Words(data, off, first, last)
-            out: dict[str, list] = {k: [] for k in ("doc_id", "start", "stop", "n_words", "first_doc_id")}
-            for d in range(first, last):
-                a, z = mb[d], mb[d + 1]
-                bits = (mm[a:z, None] >> np.arange(WINDOW)) & 1
-                r, l = np.nonzero(bits)
-                s, low = mp[a:z][r] - l, ml[a:z][r]
-                o = np.argsort(s, kind="stable")
-                s, low = s[o].astype(np.int64), low[o]
-                new = np.flatnonzero(np.concatenate([[True], np.diff(s) > LENGTH]))
-                begin, end = s[new], np.maximum.reduceat(s, new) + LENGTH
-                base = w.bounds[d - first]
-                lead = np.concatenate([[0], np.cumsum((data[off[d] : off[d + 1]] & 0xC0) != 0x80)])
-                out["start"] += lead[w.start[base + begin] - off[d]].tolist()
-                out["stop"] += lead[w.end[base + end - 1] - off[d]].tolist()
-                out["n_words"] += (end - begin).tolist()
-                out["first_doc_id"] += np.minimum.reduceat(low, new).tolist()
-                out["doc_id"] += [ids[d]] * len(new)
-            yield pa.record_batch({k: i64(np.array(v, np.int64)) for k, v in out.items()})
-
-    r = arrow_map(full.select("id", "text", "marks"), spans, "doc_id long, start long, stop long, n_words long, first_doc_id long")
+            n = np.diff(mb[first : last + 1])
+            doc, z = np.repeat(np.arange(last - first), n), slice(mb[first], mb[last])
+            lead = np.concatenate([[0], np.cumsum((data[off[first] : off[last]] & 0xC0) != 0x80)])
+            char = lambda at: lead[at - off[first]] - lead[off[first + doc] - off[first]]  # noqa: B023,E731
+            yield pa.record_batch({"doc_id": i64(ids[first + doc]), "start": i64(char(w.start[w.bounds[doc] + begin[z]])), "stop": i64(char(w.end[w.bounds[doc] + end[z] - 1])), "n_words": i64(end[z] - begin[z]), "first_doc_id": i64(low[z])})
+
+    r = arrow_map(full.select("id", "text", "spans"), spans, "doc_id long, start long, stop long, n_words long, first_doc_id long")
     none = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).alias(c)
     return r.select(none("doc_id"), "start", "stop", "n_words", none("first_doc_id"))
 
