@@ -186,31 +186,23 @@ def decide(net: Tables, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarr
     return np.where(size > 0, best, -1), np.where(size > 0, conf, 0.0)
 
 
-def identify(docs: DataFrame, net: Net, keep: bool = False) -> DataFrame:
-    """doc_id, pred_lang, confidence, accepted for each row of docs (with keep: all columns of docs before these).
+def identify(docs: DataFrame, net: Net) -> DataFrame:
+    """doc_id, pred_lang, confidence, accepted for each row of docs.
 
     A null or empty text has language 'und', confidence 0 and is not accepted. Null ids and repeated rows are passed on
-    row by row; whole texts are read, of any length; further columns are not read (with keep they are passed on, and one
-    that bears the name of a result is replaced); an empty table gives an empty result.
+    row by row; whole texts are read, of any length; further columns are not read; an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net.compile())
     names = np.array([*net.classes, "und"], object)
-    out = ["pred_lang", "confidence", "accepted"]
-    src = docs.select(*[c for c in docs.columns if c not in out]) if keep else docs.select("doc_id", "text")
-    fields = [f for f in src.schema.fields if keep or f.name == "doc_id"]
-    from pyspark.sql import types as T
-
-    schema = T.StructType([*fields, T.StructField("pred_lang", T.StringType()), T.StructField("confidence", T.DoubleType()), T.StructField("accepted", T.BooleanType())])
 
     def run(b: pa.RecordBatch):
         data, off = buffer_of(b.column("text"))
         for first, last in pieces(off):
             lo = off[first]
             best, conf = decide(shared.value, data[lo : off[last]], off[first : last + 1] - lo)
-            cols = {f.name: b.column(f.name)[first:last] for f in fields}
-            yield pa.record_batch(cols | {"pred_lang": pa.array(names[best], pa.string()), "confidence": pa.array(np.round(conf, 6)), "accepted": pa.array((conf >= ACCEPT_AT) & (best >= 0))})
+            yield pa.record_batch({"doc_id": b.column("doc_id")[first:last], "pred_lang": pa.array(names[best], pa.string()), "confidence": pa.array(np.round(conf, 6)), "accepted": pa.array((conf >= ACCEPT_AT) & (best >= 0))})
 
-    return src.mapInArrow(lambda it: (x for b in it for x in run(b)), schema)
+    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, pred_lang string, confidence double, accepted boolean")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,6 +211,17 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the rows of docs whose language is recognised, with the columns of docs."""
-    cols = docs.columns
-    return identify(docs, train(docs), keep=True).where("accepted").select(*cols)
+    """Pipeline stage: the rows of docs whose language is recognised, with the columns of docs, whatever their names."""
+    shared = spark.sparkContext.broadcast(train(docs).compile())
+
+    def run(it):
+        for b in it:
+            data, off = buffer_of(b.column("text"))
+            keep = np.zeros(len(off) - 1, bool)
+            for first, last in pieces(off):
+                lo = off[first]
+                best, conf = decide(shared.value, data[lo : off[last]], off[first : last + 1] - lo)
+                keep[first:last] = (conf >= ACCEPT_AT) & (best >= 0)
+            yield b.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
