@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, i64, table
+from .common import cut, i64, table, tidied
 
 TOP = 10
 LEVELS = 5
@@ -219,7 +219,7 @@ def neighbours(emb: DataFrame, top: int = TOP) -> DataFrame:
                 ok = np.isfinite(d)
                 yield pa.record_batch({"vec_id": i64(np.repeat(ids[qs], t)[ok.ravel()]), "neighbour_id": i64(nb[ok]), "distance": pa.array(np.sqrt(d[ok]))})
 
-    found = asked.union(held).repartition(buckets, "cell", "part").mapInArrow(search, "vec_id long, neighbour_id long, distance double")
+    found = asked.union(held).repartition(buckets, "cell", "part").mapInArrow(tidied(search), "vec_id long, neighbour_id long, distance double")
     w = Window.partitionBy("vec_id").orderBy("distance", "neighbour_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).select("vec_id", "neighbour_id", "rank", F.round("distance", 6).alias("distance"))
 

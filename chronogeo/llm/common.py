@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -43,10 +44,30 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield from fn(b)
+        tidy()
 
     return df.mapInArrow(run, schema)
 
 
+def tidy() -> None:
+    """Gives freed memory back to the system: Python workers are used again, and keep what their largest task took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidied(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """fn, for mapInArrow, with tidy() at the end of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        tidy()
+
+    return run
+
+
 def i64(x) -> pa.Array:
     return pa.array(np.asarray(x).astype(np.int64, copy=False), pa.int64())
 

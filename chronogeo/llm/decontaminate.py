@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, arrow_map, i64, signed, table
+from .common import NULL_ID, arrow_map, i64, signed, table, tidied
 from .textkit import Words, buffer_of, grams, pieces
 
 MIN_TILE = 4
@@ -209,7 +209,7 @@ def clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
                 keep[[x[0] for x in _pairs(shared.value, data, off, first, last)]] = False
             yield b.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,13 +3,13 @@
 A document's set holds the hashes of its word N-grams (all its words as one gram, if it has fewer than N).  Documents with
 equal sets are collapsed to one set; the distinct sets are joined exactly at Jaccard >= THETA:
 
-1. Order. Grams are ordered by an upper bound of their document frequency, the least document frequency of their words,
-   which is counted over all documents.  Only words in more than a fixed share of the documents need a place in the table
-   that the tasks get, so its size has a bound that does not grow with the corpus.
+1. Order. Grams go, packed, to one task per bucket of their hashes, where those of one set only end.  The others come back
+   to their sets, with their document frequency, by which they are ordered.  What only one set has can't be shared, so
+   a set is dropped here if more of its grams than a match may miss are its own, and no text is read again.
 2. Prefixes. A set of n grams may differ from a match in at most tau = n - ceil(THETA n) of its grams.  The prefix takes
-   single grams of the rare class, and, where these do not suffice, is extended by pairs of grams of the frequent class
+   the grams of its own, then single grams of the rare class, and, where these do not suffice, is extended by pairs of grams of the frequent class
    (pairs inside partitions of the grams, whose number goes by the size of the sets, so that pairs stay few).  A
-   partition with c grams in the prefix adds c - 1 to the prefix's strength, a rare gram adds 1; the prefix ends at
+   partition with c grams in the prefix adds c - 1 to the prefix's strength, any other gram adds 1; the prefix ends at
    strength tau + 1, so that tau errors cannot break all that it shares with a match.
 3. Candidates. Signatures are sent, packed, to one task per bucket of their hashes.  A posting does not become all pairs
    of its sets but a star about its least member, so a group of thousands of near copies costs a few edges per member.
@@ -25,17 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, i64, signed, small, table
+from .common import arrow_map, cut, i64, signed, small, table, tidied
 from .textkit import Words, buffer_of, mix, pieces
 
 N = 3
 #: the threshold as a fraction, so that bounds are exact
 THETA = (3, 5)
-#: grams with a bound of at least this share of the documents are of the frequent class
+#: grams of at least this share of the sets are of the frequent class
 FREQUENT = 0.005
-#: words in at least this share of the documents have their frequency in the table that orders grams
-TABLED = 0.0001
-HASH_BITS = 47
+HASH_BITS = 53
 PIECE_DOCS = 1 << 11
 #: most sets of one star that one task compares with each other
 STAR = 2048
@@ -55,18 +53,11 @@ def _pieces(offsets):
             yield k, min(z, k + PIECE_DOCS)
 
 
-def gram_sets(w: Words, freq: tuple[np.ndarray, np.ndarray] | None = None):
-    """(hashes, bounds of grams as log2, offsets by document) of the sets of a piece, ordered by (bound, hash)."""
+def gram_sets(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, offsets by document) of the sets of a piece."""
     n = w.last - w.first
     h, at = w.grams(N)
-    level = np.zeros(len(w.hash), np.uint64)
-    if freq is not None and len(freq[0]) and len(w.hash):
-        i = np.minimum(np.searchsorted(freq[0], w.hash), len(freq[0]) - 1)
-        level = np.where(freq[0][i] == w.hash, freq[1][i], 0).astype(np.uint64)
     doc = np.searchsorted(w.bounds, at, side="right") - 1
-    low = level[at] if len(at) else level[:0]
-    for k in range(1, N):
-        low = np.minimum(low, level[at + k])
     words = np.diff(w.bounds)
     few = np.flatnonzero((words > 0) & (words < N))
     if len(few):  # a short text is one gram
@@ -78,12 +69,10 @@ def gram_sets(w: Words, freq: tuple[np.ndarray, np.ndarray] | None = None):
                     v = v * np.uint64(0xD1342543DE82EF95) + t
                 more[x] = v
         h, doc = np.concatenate([h, mix(more)]), np.concatenate([doc, few])
-        low = np.concatenate([low, [level[w.bounds[d] : w.bounds[d + 1]].min() for d in few]]).astype(np.uint64)
-    short = h & _HASH
-    # one 64-bit sort: 11 bits of document, 6 of bound, 47 of hash
-    key = np.unique(doc.astype(np.uint64) << np.uint64(53) | low << np.uint64(HASH_BITS) | short)
-    bounds = np.searchsorted(key, np.arange(n + 1).astype(np.uint64) << np.uint64(53)) if n < PIECE_DOCS else np.append(np.searchsorted(key, np.arange(n).astype(np.uint64) << np.uint64(53)), len(key))
-    return key & _HASH, (key >> np.uint64(HASH_BITS) & np.uint64(63)).astype(np.int64), bounds
+    # one 64-bit sort: 11 bits of document, 53 of hash
+    key = np.unique(doc.astype(np.uint64) << np.uint64(HASH_BITS) | (h & _HASH))
+    bounds = np.append(np.searchsorted(key, np.arange(n).astype(np.uint64) << np.uint64(HASH_BITS)), len(key))
+    return key & _HASH, bounds
 
 
 def digests(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -92,40 +81,161 @@ def digests(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         return mix((c[bounds[1:]] - c[bounds[:-1]]) + np.diff(bounds).astype(np.uint64))
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
+
+
 def survey(docs: DataFrame) -> DataFrame:
-    """Rows (kind 'd': doc_id, digest, size of set; kind 'w': word hash, documents that have it, by task)."""
+    """(doc_id, digest, size) of each document's set."""
+
+    def run(b: pa.RecordBatch):
+        data, off = buffer_of(b.column("text"))
+        ids = np.asarray(b.column("doc_id"))
+        for first, last in _pieces(off):
+            h, bounds = gram_sets(Words(data, off, first, last))
+            some = np.diff(bounds) > 0
+            yield pa.record_batch({"doc_id": i64(ids[first:last][some]), "digest": signed(digests(h, bounds)[some]), "size": i64(np.diff(bounds)[some])})
 
-    def run(it):
-        hs, cs, held = [], [], 0
+    return arrow_map(_texts(docs), run, "doc_id long, digest long, size long")
 
-        def flush():
-            u, inv = np.unique(np.concatenate(hs), return_inverse=True)
-            c = np.bincount(inv, np.concatenate(cs)).astype(np.int64)
-            return pa.record_batch({"kind": pa.array(["w"] * len(u)), "a": signed(u), "b": i64(np.zeros(len(u))), "n": i64(c)})
 
-        for b in it:
-            data, off = buffer_of(b.column("text"))
-            ids = np.asarray(b.column("doc_id"))
-            for first, last in _pieces(off):
-                w = Words(data, off, first, last)
-                doc = w.doc
-                order = np.lexsort((doc, w.hash))
-                x, d = w.hash[order], doc[order]
-                new = np.concatenate([[True], (x[1:] != x[:-1]) | (d[1:] != d[:-1])])[: len(x)]
-                u, c = np.unique(x[new], return_counts=True)
-                hs.append(u)
-                cs.append(c)
-                held += len(u)
-                h, _, bounds = gram_sets(w)
-                some = np.diff(bounds) > 0
-                yield pa.record_batch({"kind": pa.array(["d"] * int(some.sum())), "a": i64(ids[first:last][some]), "b": signed(digests(h, bounds)[some]), "n": i64(np.diff(bounds)[some])})
-                if held > 2_000_000:
-                    yield flush()
-                    hs, cs, held = [], [], 0
-        if hs:
+#: columns of the messages by which sets get their shared grams back
+RETURN = ("sets", "sizes", "counts", "low", "level")
+PACKED = "bucket int, sets binary, sizes binary, counts binary, sigs binary"
+
+
+def _packed(it, buckets: int):
+    """Messages, one for each bucket, of signatures (in order of sets, `counts` of each set) from tuples (digests, sizes, counts, signatures)."""
+
+    def flush():
+        dig, size, count, sig = (np.concatenate(x) for x in zip(*held))
+        bucket = ((sig >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+        order = np.argsort(bucket, kind="stable")
+        doc, low = np.repeat(np.arange(len(count), dtype=np.int32), count)[order], sig.astype(np.uint32)[order]
+        edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        rows: dict[str, list] = {k: [] for k in ("bucket", "sets", "sizes", "counts", "sigs")}
+        for r in np.flatnonzero(np.diff(edge)):
+            a, z = edge[r], edge[r + 1]
+            new = np.flatnonzero(np.diff(doc[a:z], prepend=-1))
+            d = doc[a:z][new]
+            for k, v in (("bucket", r), ("sets", dig[d].tobytes()), ("sizes", size[d].astype(np.int32).tobytes()), ("counts", np.diff(new, append=z - a).astype(np.int32).tobytes()), ("sigs", low[a:z].tobytes())):
+                rows[k].append(v)
+        return pa.record_batch({"bucket": pa.array(rows["bucket"], pa.int32()), **{k: pa.array(rows[k], pa.binary()) for k in ("sets", "sizes", "counts", "sigs")}})
+
+    held, n = [], 0
+    for x in it:
+        held.append(x)
+        n += len(x[3])
+        if n > 2_000_000:
             yield flush()
+            held, n = [], 0
+    if held:
+        yield flush()
+
+
+def _postings(it):
+    """(digests of the sets, their sizes, signature by posting entry, set by entry, bucket) of a bucket's messages, in order of
+    signatures, without signatures of one set; None if nothing is left."""
+    cols = {k: [] for k in ("bucket", "sets", "sizes", "counts", "sigs")}
+    for b in it:
+        for k in cols:
+            cols[k] += b.column(k).to_pylist()
+    if not cols["sigs"]:
+        return None
+    bucket = cols["bucket"][0]
+    dig, size, count, sig = (np.frombuffer(b"".join(cols.pop(k)), t) for k, t in (("sets", np.uint64), ("sizes", np.int32), ("counts", np.int32), ("sigs", np.uint32)))
+    uniq, of = np.unique(dig, return_inverse=True)  # equal sets are one
+    size_of = np.zeros(len(uniq), np.int64)
+    size_of[of] = size
+    key = sig.astype(np.uint64)
+    del sig
+    key <<= np.uint64(32)
+    key |= np.repeat(of.astype(np.uint32), count)
+    key.sort()
+    key = key[np.append(True, key[1:] != key[:-1])]
+    same = np.append(False, (key[1:] ^ key[:-1]) < np.uint64(1 << 32))  # the signature of the entry before
+    shared = same.copy()
+    shared[:-1] |= same[1:]
+    key = key[shared]
+    return (uniq, size_of, key >> np.uint64(32), (key & np.uint64(0xFFFFFFFF)).astype(np.int64), bucket) if len(key) else None
+
+
+def level_of(df) -> np.ndarray:
+    return np.minimum(255, 8 * np.log2(df)).astype(np.uint8)
+
+
+def repeated(docs: DataFrame, buckets: int, frequent: int) -> DataFrame:
+    """(digest, size, rare, grams) of the sets that may have a match: their grams that other sets have, too, in order (the
+    first `rare` of them are of the rare class)."""
 
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null").mapInArrow(run, "kind string, a long, b long, n long")
+    def emit(it):
+        def parts():
+            for b in it:
+                data, off = buffer_of(b.column("text"))
+                for first, last in _pieces(off):
+                    h, bounds = gram_sets(Words(data, off, first, last))
+                    yield digests(h, bounds), np.diff(bounds), np.diff(bounds), h
+
+        yield from _packed(parts(), buckets)
+
+    def back(it):
+        p = _postings(it)
+        if p is None:
+            return
+        uniq, size, sig, member, bucket = p
+        new = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        df = np.diff(np.append(new, len(sig)))
+        level = np.repeat(level_of(df), df)
+        goes = (uniq % np.uint64(buckets)).astype(np.int64)[member]
+        order = np.lexsort((member, goes))
+        goes, sig, level, member = goes[order], sig[order].astype(np.uint32), level[order], member[order]
+        edge = np.searchsorted(goes, np.arange(buckets + 1))
+        rows: dict[str, list] = {k: [] for k in ("goes", *RETURN)}
+        for r in np.flatnonzero(np.diff(edge)):
+            a, z = edge[r], edge[r + 1]
+            new = np.flatnonzero(np.diff(member[a:z], prepend=-1))
+            m = member[a:z][new]
+            for k, v in (("goes", r), ("sets", uniq[m].tobytes()), ("sizes", size[m].astype(np.int32).tobytes()), ("counts", np.diff(new, append=z - a).astype(np.int32).tobytes()), ("low", sig[a:z].tobytes()), ("level", level[a:z].tobytes())):
+                rows[k].append(v)
+        n = len(rows["goes"])
+        yield pa.record_batch({"goes": pa.array(rows["goes"], pa.int32()), "bucket": pa.array(np.full(n, bucket, np.int32)), **{k: pa.array(rows[k], pa.binary()) for k in RETURN}})
+
+    def gather(it):
+        cols: dict[str, list] = {k: [] for k in ("bucket", *RETURN)}
+        for b in it:
+            for k in cols:
+                cols[k] += b.column(k).to_pylist()
+        if not cols["sets"]:
+            return
+        dig = np.frombuffer(b"".join(cols["sets"]), np.int64)
+        size = np.frombuffer(b"".join(cols["sizes"]), np.int32).astype(np.int64)
+        n = np.frombuffer(b"".join(cols["counts"]), np.int32)
+        bucket = np.repeat(np.array(cols["bucket"], np.uint64), [len(x) // 8 for x in cols["sets"]])
+        gram = np.frombuffer(b"".join(cols["low"]), np.uint32).astype(np.uint64) | np.repeat(bucket, n) << np.uint64(32)
+        level = np.frombuffer(b"".join(cols["level"]), np.uint8)
+        uniq, first, of = np.unique(dig, return_index=True, return_inverse=True)
+        who = np.repeat(of, n)
+        r = np.bincount(who, minlength=len(uniq))
+        size = size[first]
+        may = (r >= least_overlap(size)) & (size > 1)
+        keep = may[who]
+        who, level, gram = who[keep], level[keep], gram[keep]
+        order = np.lexsort((mix(gram), level, who))
+        who, level, gram = who[order], level[order], gram[order]
+        rare = np.bincount(who[level < frequent], minlength=len(uniq))
+        edge = np.searchsorted(who, np.arange(len(uniq) + 1))
+        at = np.flatnonzero(may)
+        for k in range(0, len(at), 10_000):
+            x = at[k : k + 10_000]
+            yield pa.record_batch({"digest": i64(uniq[x]), "size": i64(size[x]), "rare": i64(rare[x]), "grams": pa.array([gram[edge[i] : edge[i + 1]].tobytes() for i in x], pa.binary())})
+
+    rows = _texts(docs).mapInArrow(tidied(emit), PACKED).repartitionById(buckets, F.col("bucket")).mapInArrow(tidied(back), "goes int, bucket int, " + ", ".join(f"{k} binary" for k in RETURN))
+    return rows.repartitionById(buckets, F.col("goes")).mapInArrow(tidied(gather), "digest long, size long, rare long, grams binary")
+
+
+def _grams_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data, off = buffer_of(col)
+    return np.frombuffer(data.tobytes(), np.uint64), off // 8
 
 
 def _combos(h: np.ndarray, n1: int, size: int, tau: int) -> list[np.ndarray]:
@@ -150,23 +260,19 @@ def _combos(h: np.ndarray, n1: int, size: int, tau: int) -> list[np.ndarray]:
     return out
 
 
-def prefixes(h: np.ndarray, level: np.ndarray, bounds: np.ndarray, frequent: int):
-    """(signatures, number of signatures of each set)."""
-    size = np.diff(bounds)
-    tau = size - least_overlap(size)
-    rare = np.concatenate([[0], np.cumsum(level < frequent)])
-    n1 = rare[bounds[1:]] - rare[bounds[:-1]]
-    n1 = np.where(size == 1, 1, n1)
-    singles = np.minimum(n1, np.where(size > 0, tau + 1, 0))
+def prefixes(h: np.ndarray, bounds: np.ndarray, size: np.ndarray, rare: np.ndarray):
+    """(signatures, number of signatures of each set). h: the shared grams of each set, in order."""
+    tau = size - least_overlap(size) - (size - np.diff(bounds))  # what may still be missed, beside the grams of its own
+    singles = np.minimum(rare, tau + 1)
     at = np.repeat(bounds[:-1], singles) + np.arange(singles.sum()) - np.repeat(np.cumsum(singles) - singles, singles)
     sig, count = mix(h[at] + np.uint64(0x2545F4914F6CDD1D)), singles.copy()
-    lacking = np.flatnonzero((singles < tau + 1) & (size > 1))
+    lacking = np.flatnonzero(singles < tau + 1)
     if len(lacking):
         cuts = np.cumsum(singles)
         parts, last = [], 0
         for d in lacking:
             parts.append(sig[last : cuts[d]])
-            more = _combos(h[bounds[d] : bounds[d + 1]], int(n1[d]), int(size[d]), int(tau[d]))
+            more = _combos(h[bounds[d] : bounds[d + 1]], int(rare[d]), int(size[d]), int(tau[d]))
             parts += more
             count[d] += sum(map(len, more))
             last = cuts[d]
@@ -174,86 +280,44 @@ def prefixes(h: np.ndarray, level: np.ndarray, bounds: np.ndarray, frequent: int
     return sig, count
 
 
-def stars(docs: DataFrame, freq: tuple[np.ndarray, np.ndarray], frequent: int, buckets: int) -> DataFrame:
+def stars(sets: DataFrame, buckets: int) -> DataFrame:
     """(leader, member) digests of the sets that share a signature with their posting's least member."""
-    shared = docs.sparkSession.sparkContext.broadcast(freq)
 
     def emit(it):
-        def flush():
-            sig, count = np.concatenate(sigs), np.concatenate(counts)
-            dig, size = np.concatenate(digs), np.concatenate(sizes)
-            doc = np.repeat(np.arange(len(count)), count)
-            bucket = (sig >> np.uint64(32)) % np.uint64(buckets)
-            order = np.lexsort((doc, bucket))
-            bucket, doc, low = bucket[order], doc[order], sig[order].astype(np.uint32)
-            edge = np.searchsorted(bucket, np.arange(buckets + 1).astype(np.uint64))
-            rows: dict[str, list] = {k: [] for k in ("bucket", "sets", "sizes", "counts", "sigs")}
-            for r in range(buckets):
-                a, z = edge[r], edge[r + 1]
-                if a == z:
-                    continue
-                d, n = np.unique(doc[a:z], return_counts=True)
-                for k, v in (("bucket", r), ("sets", dig[d].tobytes()), ("sizes", size[d].astype(np.int32).tobytes()), ("counts", n.astype(np.int32).tobytes()), ("sigs", low[a:z].tobytes())):
-                    rows[k].append(v)
-            return pa.record_batch({"bucket": pa.array(rows["bucket"], pa.int32()), **{k: pa.array(rows[k], pa.binary()) for k in ("sets", "sizes", "counts", "sigs")}})
-
-        sigs, counts, digs, sizes, held = [], [], [], [], 0
-        for b in it:
-            data, off = buffer_of(b.column("text"))
-            for first, last in _pieces(off):
-                h, level, bounds = gram_sets(Words(data, off, first, last), shared.value)
-                sig, count = prefixes(h, level, bounds, frequent)
-                sigs.append(sig)
-                counts.append(count)
-                digs.append(digests(h, bounds))
-                sizes.append(np.diff(bounds))
-                held += len(sig)
-                if held > 1_500_000:
-                    yield flush()
-                    sigs, counts, digs, sizes, held = [], [], [], [], 0
-        if held:
-            yield flush()
+        def parts():
+            for b in it:
+                h, bounds = _grams_of(b.column("grams"))
+                size = np.asarray(b.column("size"))
+                sig, count = prefixes(h, bounds, size, np.asarray(b.column("rare")))
+                yield np.asarray(b.column("digest")).view(np.uint64), size, count, sig
+
+        yield from _packed(parts(), buckets)
 
     def reduce(it):
-        cols = {k: [] for k in ("sets", "sizes", "counts", "sigs")}
-        for b in it:
-            for k in cols:
-                cols[k] += b.column(k).to_pylist()
-        if not cols["sigs"]:
+        p = _postings(it)
+        if p is None:
             return
-        dig = np.frombuffer(b"".join(cols.pop("sets")), np.uint64)
-        size = np.frombuffer(b"".join(cols.pop("sizes")), np.int32)
-        count = np.frombuffer(b"".join(cols.pop("counts")), np.int32)
-        sig = np.frombuffer(b"".join(cols.pop("sigs")), np.uint32)
-        uniq, of = np.unique(dig, return_inverse=True)  # equal sets are one
-        size_of = np.zeros(len(uniq), np.int64)
-        size_of[of] = size
-        key = np.unique(sig.astype(np.uint64) << np.uint64(32) | np.repeat(of, count).astype(np.uint64))
-        sig, member = key >> np.uint64(32), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        same = np.concatenate([[False], sig[1:] == sig[:-1]])
-        shares = same | np.concatenate([same[1:], [False]])
-        sig, member = sig[shares], member[shares]
+        uniq, size_of, sig, member, _ = p
         order = np.lexsort((size_of[member], sig))
         sig, member = sig[order], member[order]
         s = size_of[member]
         # a posting falls apart where sizes are too far from each other for a match
-        new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (least_overlap(s[1:]) > s[:-1])])[: len(sig)]
+        new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (least_overlap(s[1:]) > s[:-1])])
         run = np.cumsum(new) - 1
-        if not len(run):
-            return
         lead = np.minimum.reduceat(member, np.flatnonzero(new))[run]
         pair = np.unique(lead[lead != member].astype(np.uint64) << np.uint64(32) | member[lead != member].astype(np.uint64))
         yield pa.record_batch({"leader": signed(uniq[(pair >> np.uint64(32)).astype(np.int64)]), "member": signed(uniq[(pair & np.uint64(0xFFFFFFFF)).astype(np.int64)])})
 
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null").mapInArrow(emit, "bucket int, sets binary, sizes binary, counts binary, sigs binary")
-    return rows.repartitionById(buckets, F.col("bucket")).mapInArrow(reduce, "leader long, member long").distinct()
+    return sets.mapInArrow(tidied(emit), PACKED).repartitionById(buckets, F.col("bucket")).mapInArrow(tidied(reduce), "leader long, member long").distinct()
+
 
+def _compare(sets: list[np.ndarray], size: np.ndarray, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, overlap) of the pairs i in first, j in second that reach THETA, i != j; each unordered pair once.
 
-def _compare(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, overlap) of the pairs i in first, j in second that reach THETA, i != j; each unordered pair once."""
-    size = np.array([len(x) for x in sets], np.int64)
+    sets: of each set of a size the grams that it shares with any other.
+    """
     m = len(sets)
-    who = np.repeat(np.arange(m), size)
+    who = np.repeat(np.arange(m), [len(x) for x in sets])
     tok = np.concatenate(sets)
     order = np.argsort(tok, kind="stable")
     tok, who = tok[order], who[order]
@@ -299,16 +363,17 @@ def _compare(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> t
     return i[cross], j[cross], o[cross]
 
 
-def bitmap(h: np.ndarray) -> np.ndarray:
-    """A set's grams as bits, in a power of two of at least two bits a gram."""
-    width = 1 << max(6, int(2 * len(h) - 1).bit_length())
+def bitmap(h: np.ndarray, size: int) -> np.ndarray:
+    """A set's shared grams as bits, in a power of two of at least two bits a gram of the set."""
+    width = 1 << max(6, int(2 * size - 1).bit_length())
     bits = np.zeros(width, bool)
-    bits[(h & np.uint64(width - 1)).astype(np.int64)] = True
-    return np.packbits(bits).view(np.uint64)
+    bits[(mix(h) & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view(np.uint64)
 
 
-def sift(size: np.ndarray, maps: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(i, j) of the pairs that can reach THETA by size and bitmaps; each bit by which two maps differ is a gram that they don't share.
+def sift(size: np.ndarray, own: np.ndarray, maps: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of the pairs that can reach THETA by size and bitmaps; each bit by which two maps differ is a gram that they don't share,
+    as are the grams that only one set has (own: their numbers).
 
     Maps of sizes that can match differ in width by a factor of two at most, and the wider is folded.
     """
@@ -326,55 +391,35 @@ def sift(size: np.ndarray, maps: list[np.ndarray], first: np.ndarray, second: np
             s = size[u] + size[v]
             fit = (i < j) & ((words[u] == w) | (words[v] == w)) & (q * np.minimum(size[u], size[v]) >= p * np.maximum(size[u], size[v])) & ((first[u] & second[v]) | (first[v] & second[u]))
             i, j, u, v, s = i[fit], j[fit], u[fit], v[fit], s[fit]
-            apart = np.bitwise_count(x[i] ^ x[j]).sum(1, dtype=np.int64)
+            apart = np.bitwise_count(x[i] ^ x[j]).sum(1, dtype=np.int64) + own[u] + own[v]
             good = (p + q) * (s - apart) >= 2 * p * s
             out.append((u[good], v[good]))
     return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
 
 
-def _shipped(docs: DataFrame, members: DataFrame, sets: DataFrame, buckets: int, as_bits: bool) -> DataFrame:
-    """(leader, i, j, own, digest, size, body): the sets of each star's members, as bitmaps or in full, in the star's tasks."""
+def _shipped(sets: DataFrame, members: DataFrame, buckets: int, as_bits: bool) -> DataFrame:
+    """(leader, i, j, own, digest, size, shared, body): the sets of each star's members, as bitmaps or in full, in the star's tasks."""
     members = members.distinct()
     big = members.groupBy("leader").agg(F.count("*").alias("m")).where(F.col("m") > STAR)
     g = F.expr(f"(coalesce(m, 1) + {STAR - 1}) div {STAR}")
     routed = members.join(big, "leader", "left").withColumn("g", g).withColumn("own", F.pmod(F.hash("member"), F.col("g")))
     routed = routed.withColumn("other", F.explode(F.expr("sequence(0L, g - 1)")))
-    routed = routed.select("leader", "member", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    one = sets.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    wanted = routed.join(one, F.col("member") == F.col("digest")).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("leader", "i", "j", "own")).alias("to"))
-    wanted = cut(wanted)
-    size = wanted.agg(F.count("*"), F.sum(F.size("to"))).first()
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    fetched = text.join(small(wanted, 1, 40 * size[0] + 32 * (size[1] or 0)), "doc_id")
-
-    def ship(b: pa.RecordBatch):
-        data, off = buffer_of(b.column("text"))
-        want, to = np.asarray(b.column("digest")).view(np.uint64), b.column("to")
-        flat, tb = to.flatten(), np.asarray(to.offsets)
-        tb = tb - tb[0]
-        lead, ci, cj, own = (np.asarray(flat.field(k)) for k in ("leader", "i", "j", "own"))
-        for first, last in _pieces(off):
-            h, _, bounds = gram_sets(Words(data, off, first, last))
-            dig = digests(h, bounds)
-            rows: dict[str, list] = {k: [] for k in ("at", "digest", "size", "body")}
-            for d in np.flatnonzero(dig == want[first:last]):
-                own_set = h[bounds[d] : bounds[d + 1]]
-                x = bitmap(own_set).tobytes() if as_bits else np.sort(own_set.astype(np.uint32)).tobytes()
-                for t in range(tb[first + d], tb[first + d + 1]):
-                    rows["at"].append(t)
-                    rows["digest"].append(dig[d])
-                    rows["size"].append(len(own_set))
-                    rows["body"].append(x)
-            t = np.array(rows["at"], np.int64)
-            yield pa.record_batch({"leader": i64(lead[t]), "i": i64(ci[t]), "j": i64(cj[t]), "own": i64(own[t]), "digest": signed(np.array(rows["digest"], np.uint64)), "size": i64(np.array(rows["size"], np.int64)), "body": pa.array(rows["body"], pa.binary())})
-
-    out = arrow_map(fetched, ship, "leader long, i long, j long, own long, digest long, size long, body binary")
-    return out.repartition(buckets, "leader", "i", "j")
+    routed = routed.select("leader", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", F.col("member").alias("digest"))
+
+    def body(b: pa.RecordBatch):
+        h, bounds = _grams_of(b.column("grams"))
+        size = np.asarray(b.column("size"))
+        own = [h[a:z] for a, z in zip(bounds, bounds[1:])]
+        x = [bitmap(v, int(n)).tobytes() if as_bits else np.sort(mix(v).astype(np.uint32)).tobytes() for v, n in zip(own, size)]
+        yield pa.record_batch({"digest": b.column("digest"), "size": i64(size), "shared": i64(np.diff(bounds)), "body": pa.array(x, pa.binary())})
+
+    bodies = arrow_map(sets.select("digest", "size", "grams").join(members.select(F.col("member").alias("digest")).distinct(), "digest", "left_semi"), body, "digest long, size long, shared long, body binary")
+    return routed.join(bodies, "digest").repartition(buckets, "leader", "i", "j")
 
 
 def _stars_of(it):
-    """(leader, digests, sizes, bodies, in the first part, in the second part) of each star of a task."""
-    cols = {k: [] for k in ("leader", "i", "j", "own", "digest", "size")}
+    """(leader, digests, sizes, numbers of shared grams, bodies, in the first part, in the second part) of each star of a task."""
+    cols = {k: [] for k in ("leader", "i", "j", "own", "digest", "size", "shared")}
     body: list = []
     for b in it:
         for k in cols:
@@ -387,10 +432,9 @@ def _stars_of(it):
     c = {k: v[order] for k, v in c.items()}
     edge = np.flatnonzero(np.concatenate([[True], (np.diff(c["leader"]) != 0) | (np.diff(c["i"]) != 0) | (np.diff(c["j"]) != 0)]))
     for a, z in zip(edge, np.append(edge[1:], len(order))):
-        dig, keep = np.unique(c["digest"][a:z], return_index=True)  # rows that repeat a document bring its set twice
-        if len(dig) > 1:
-            own = c["own"][a:z][keep]
-            yield c["leader"][a], dig, c["size"][a:z][keep], [body[k] for k in order[a:z][keep]], own == c["i"][a], own == c["j"][a]
+        if z - a > 1:
+            own = c["own"][a:z]
+            yield c["leader"][a], c["digest"][a:z].view(np.uint64), c["size"][a:z], c["shared"][a:z], [body[k] for k in order[a:z]], own == c["i"][a], own == c["j"][a]
 
 
 def _rows(names: tuple[str, ...], parts):
@@ -406,33 +450,36 @@ def _rows(names: tuple[str, ...], parts):
         yield pa.record_batch({k: i64(np.concatenate(v)) for k, v in zip(names, zip(*held))})
 
 
-def verified(docs: DataFrame, edges: DataFrame, sets: DataFrame, buckets: int) -> DataFrame:
+def verified(sets: DataFrame, edges: DataFrame, buckets: int) -> DataFrame:
     """(x, y, overlap, sx, sy): digests, x < y as signed numbers, of the pairs at THETA or more."""
 
     def likely(it):
         def parts():
-            for lead, dig, size, body, first, second in _stars_of(it):
-                i, j = sift(size, [np.frombuffer(x, np.uint64) for x in body], first, second)
-                x, y = np.minimum(dig[i], dig[j]), np.maximum(dig[i], dig[j])
-                yield x, y, np.full(len(x), lead)
+            for lead, dig, size, shared, body, first, second in _stars_of(it):
+                i, j = sift(size, size - shared, [np.frombuffer(x, np.uint64) for x in body], first, second)
+                dig = dig.view(np.int64)
+                yield np.minimum(dig[i], dig[j]), np.maximum(dig[i], dig[j]), np.full(len(i), lead)
 
         yield from _rows(("x", "y", "leader"), parts())
 
     def verify(it):
         def parts():
-            for _, dig, size, body, first, second in _stars_of(it):
-                i, j, o = _compare([np.frombuffer(x, np.uint32) for x in body], first, second)
+            for _, dig, size, _, body, first, second in _stars_of(it):
+                i, j, o = _compare([np.frombuffer(x, np.uint32) for x in body], size, first, second)
+                dig = dig.view(np.int64)
+                low = dig[i] < dig[j]
+                i, j = np.where(low, i, j), np.where(low, j, i)
                 yield dig[i], dig[j], o, size[i], size[j]
 
         yield from _rows(("x", "y", "overlap", "sx", "sy"), parts())
 
     members = edges.select("leader", "member").union(edges.select("leader", F.col("leader").alias("member")))
-    pairs = _shipped(docs, members, sets, buckets, True).mapInArrow(likely, "x long, y long, leader long")
+    pairs = _shipped(sets, members, buckets, True).mapInArrow(tidied(likely), "x long, y long, leader long")
     # a pair that several stars propose is left to one of them, so that near copies go there together and once
     pairs = cut(pairs.groupBy("x", "y").agg(F.min("leader").alias("leader")))
     members = pairs.select("leader", F.col("x").alias("member")).union(pairs.select("leader", F.col("y").alias("member")))
-    full = _shipped(docs, members, sets, buckets, False)
-    return full.mapInArrow(verify, "x long, y long, overlap long, sx long, sy long").dropDuplicates(["x", "y"])
+    full = _shipped(sets, members, buckets, False)
+    return full.mapInArrow(tidied(verify), "x long, y long, overlap long, sx long, sy long").dropDuplicates(["x", "y"])
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -448,18 +495,11 @@ def join(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seen = cut(survey(docs))
-    sets = seen.where("kind = 'd'").select(F.col("a").alias("doc_id"), F.col("b").alias("digest"), F.col("n").alias("size"))
-    n = sets.count()
-    least = max(2, int(TABLED * n))
-    # at most (words a document) / TABLED words can be so frequent, whatever the size of the corpus
-    common = seen.where("kind = 'w'").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("df")).where(F.col("df") >= least).toPandas()
-    word = common["word"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(word)
-    freq = word[order], np.minimum(63, 1 + np.log2(np.maximum(common["df"].to_numpy(np.int64)[order] / least, 1)) * 2).astype(np.uint8)
-    frequent = int(min(63, 1 + np.log2(max(FREQUENT * n / least, 1)) * 2))
-    edges = cut(stars(docs, freq, frequent, buckets))
-    pairs = verified(docs, edges, sets, buckets)
+    sets = cut(survey(docs))
+    frequent = int(level_of(max(2.0, FREQUENT * sets.count())))
+    # a set is named once in each bucket, so for all its grams there are fewer, larger ones
+    shared = cut(repeated(docs, max(1, buckets // 2), frequent))
+    pairs = verified(shared, cut(stars(shared, buckets)), buckets)
     rep = sets.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
     copies = sets.join(rep.where("n > 1"), "digest").where("doc_id > rep").select(F.col("rep").alias("doc_a"), F.col("doc_id").alias("doc_b"), F.lit(1.0).alias("jaccard"))
     a, b = rep.select(F.col("digest").alias("x"), F.col("rep").alias("rx")), rep.select(F.col("digest").alias("y"), F.col("rep").alias("ry"))

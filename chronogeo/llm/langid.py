@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, table
+from .common import arrow_map, table, tidied
 from .textkit import buffer_of, pieces
 
 WINDOW = 256
@@ -224,4 +224,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                 keep[first:last] = (conf >= ACCEPT_AT) & (best >= 0)
             yield b.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)

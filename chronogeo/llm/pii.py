@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from .boosting import Boosted, calibrate
-from .common import i64, table
+from .common import i64, table, tidied
 from .textkit import buffer_of, pieces
 
 KINDS = ("EMAIL", "NUMBER", "DOTTED", "COLONS", "KEYED", "TOKEN")
@@ -291,7 +291,7 @@ def redacted(docs: DataFrame) -> DataFrame:
             text, n, told = _run(shared.value, b.column("text"))
             yield pa.record_batch({"doc_id": b.column("doc_id"), "text": text, "n_redacted": i64(n), "spans": pa.array(told, pa.string())})
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text string, n_redacted long, spans string")
+    return docs.select("doc_id", "text").mapInArrow(tidied(run), "doc_id long, text string, n_redacted long, spans string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,5 +308,5 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         for b in it:
             yield b.set_column(b.schema.get_field_index("text"), "text", _run(shared.value, b.column("text"))[0])
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(tidied(run), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns) if "n_chars" in docs.columns else out

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, arrow_map, cut, i64, signed, small, table
+from .common import NULL_ID, arrow_map, cut, i64, signed, small, table, tidied
 from .textkit import Words, buffer_of, mix, pieces
 
 LENGTH = 50
@@ -92,7 +92,7 @@ def recurring(docs: DataFrame, buckets: int) -> DataFrame:
         yield pa.record_batch({"u": i64(u[more]), "pos": pa.array(pos[more])})
 
     rows = arrow_map(_docs(docs).select("u", "text"), emit, "key long, u long, pos int")
-    return rows.repartition(buckets, "key").mapInArrow(keep, "u long, pos int")
+    return rows.repartition(buckets, "key").mapInArrow(tidied(keep), "u long, pos int")
 
 
 def _around(tok: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -193,7 +193,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         yield pa.record_batch({"u": i64(c["u"][hit]), "pos": pa.array(c["pos"][hit]), "mask": i64(mask[hit]), "least": i64(least[hit])})
 
     near = arrow_map(found.select("id", "u", "text", "at"), fetch, "key long, id long, u long, pos int, ctx binary")
-    marks = near.repartition(buckets, "key").mapInArrow(compare, "u long, pos int, mask long, least long")
+    marks = near.repartition(buckets, "key").mapInArrow(tidied(compare), "u long, pos int, mask long, least long")
 
     def islands(it):
         cols = {k: [] for k in ("u", "pos", "mask", "least")}
@@ -211,7 +211,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         yield pa.record_batch({"u": i64(u[new]), "first": i64(start[new]), "last": i64(start[np.append(new[1:], len(start)) - 1] + LENGTH), "least": i64(np.minimum.reduceat(least, new))})
 
     # spans are few, and only they go to the texts again, for their character offsets
-    found = marks.repartition(buckets, "u").mapInArrow(islands, "u long, first long, last long, least long")
+    found = marks.repartition(buckets, "u").mapInArrow(tidied(islands), "u long, first long, last long, least long")
     found = cut(found.groupBy("u").agg(F.collect_list(F.struct("first", "last", "least")).alias("spans")))
     size = found.agg(F.count("*"), F.sum(F.size("spans"))).first()
     full = d.join(small(found, 1, 40 * size[0] + 48 * (size[1] or 0)), "u")
