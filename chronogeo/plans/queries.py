@@ -524,7 +524,7 @@ def inverted_index(spark, d):
 
 @register
 def fixed_window_limiter(spark, d):
-    r = table(spark, d, "events").select(F.col("user_id").cast("string").alias("key"), F.unix_millis("ts").alias("ts_ms"))
+    r = table(spark, d, "events").select(F.col("user_id").cast("string").alias("key"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"))
     return limited(r, window=6 * 3_600_000, most=2)
 
 
