@@ -134,7 +134,7 @@ UNION ALL SELECT page, 6, year::INT, year || '-08-01', 'month', page || ' signs
     "search_topk": f"WITH {RAW} SELECT id, title, notability, date_start FROM raw WHERE {_has(' city ')} AND {_has(' nevada ')} {_SHOW}",
     "search_phrase": f"WITH {RAW} SELECT id, title, notability, date_start FROM raw WHERE {_has(' sovereign state ')} OR contains({_T}, ' championship ') AND NOT {_has(' machinery ')} {_SHOW}",
     "search_prefix": f"WITH {RAW} SELECT id, title, notability, date_start FROM raw WHERE {_has(' uni')} AND {_has(' tor')} {_SHOW}",
-    "search_documents": "WITH t AS (SELECT doc_id, " + _NORM.format("text") + " AS x FROM documents) SELECT doc_id FROM t WHERE contains(x, ' the ') AND (contains(x, ' of ') OR contains(x, ' und ') AND NOT contains(x, ' que '))",
+    "search_documents": "WITH t AS (SELECT doc_id, " + _NORM.format("text") + " AS x FROM documents) SELECT doc_id FROM t WHERE contains(x, ' the ') AND (contains(x, ' of ') OR contains(x, ' und ')) AND NOT contains(x, ' que ')",
     "inverted_index": f"""WITH {RAW}, p AS (SELECT id, 'title' AS field, string_split(trim({_T}), ' ') AS ws FROM raw UNION ALL SELECT id, 'blurb', string_split(trim({_B}), ' ') FROM raw),
 i AS (SELECT id, field, unnest(ws) AS token, unnest(range(len(ws))) AS pos FROM p) SELECT token, field, count(*) AS n, count(DISTINCT id) AS df, max(pos)::INT AS last FROM i WHERE token <> '' GROUP BY ALL""",
     "fixed_window_limiter": """WITH RECURSIVE e AS (SELECT user_id::VARCHAR AS key, epoch_ms(ts) AS ts_ms, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM events WHERE user_id IS NOT NULL),
