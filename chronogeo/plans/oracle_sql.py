@@ -137,7 +137,7 @@ UNION ALL SELECT page, 6, year::INT, year || '-08-01', 'month', page || ' signs
     "search_documents": "WITH t AS (SELECT doc_id, " + _NORM.format("text") + " AS x FROM documents) SELECT doc_id FROM t WHERE contains(x, ' the ') AND (contains(x, ' of ') OR contains(x, ' und ')) AND NOT contains(x, ' que ')",
     "inverted_index": f"""WITH {RAW}, p AS (SELECT id, 'title' AS field, string_split(trim({_T}), ' ') AS ws FROM raw UNION ALL SELECT id, 'blurb', string_split(trim({_B}), ' ') FROM raw),
 i AS (SELECT id, field, unnest(ws) AS token, unnest(range(len(ws))) AS pos FROM p) SELECT token, field, count(*) AS n, count(DISTINCT id) AS df, max(pos)::INT AS last FROM i WHERE token <> '' GROUP BY ALL""",
-    "fixed_window_limiter": """WITH RECURSIVE e AS (SELECT user_id::VARCHAR AS key, epoch_ms(ts) AS ts_ms, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM events WHERE user_id IS NOT NULL),
+    "fixed_window_limiter": """WITH RECURSIVE e AS (SELECT user_id::VARCHAR AS key, epoch_us(ts) // 1000 AS ts_ms, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM events WHERE user_id IS NOT NULL),
 s AS (SELECT key, ts_ms, i, ts_ms + 21600000 AS resets, 1::BIGINT AS c FROM e WHERE i = 1 UNION ALL
  SELECT e.key, e.ts_ms, e.i, CASE WHEN s.resets <= e.ts_ms THEN e.ts_ms + 21600000 ELSE s.resets END, CASE WHEN s.resets <= e.ts_ms THEN 1 ELSE s.c + 1 END FROM s JOIN e ON e.key = s.key AND e.i = s.i + 1)
 SELECT key, ts_ms, c AS count, c <= 2 AS allowed, greatest(0, 2 - c) AS remaining, greatest(1, (resets - ts_ms + 999) // 1000) AS retry_after FROM s""",
