@@ -32,15 +32,17 @@ TAGS = {"EMAIL": "[EMAIL]", "NUMBER": "[NUMBER]", "DOTTED": "[IP]", "COLONS": "[
 RECALL = 0.995
 FIT_EXAMPLES = 6000
 
-#: every quantifier over an open class is bounded, so that no text makes the search slow
+#: every quantifier over an open class is bounded, or possessive over a single class, so that no text makes the search slow
 GENERATORS = {
     "EMAIL": re.compile(r"[\w.+%-]{1,64}@[\w-]{1,63}(?:\.[\w-]{1,63}){0,8}"),
     "NUMBER": re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?\(?\d{2,19}\)?(?:[ .\-/]{1,2}\(?\d{2,19}\)?){0,8}(?![\w])"),
     "DOTTED": re.compile(r"(?<![\w.])\d{1,5}(?:\.\d{1,5}){1,5}(?!\w)"),
     "COLONS": re.compile(r"(?<![\w:])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,8}(?![\w:])"),
-    "KEYED": re.compile(r"""(?P<key>\b\w{2,40})["']?\s{0,3}[=:]\s{0,3}["']?(?P<value>[^\s"',;<>]{4,200})"""),
-    "TOKEN": re.compile(r"(?<![\w/+=-])[A-Za-z0-9_/+=-]{12,200}(?![\w/+=-])"),
+    "KEYED": re.compile(r"""(?P<key>\b\w{2,40})["']?\s{0,3}[=:]\s{0,3}["']?(?P<value>[^\s"',;<>]{4,}+)"""),
+    "TOKEN": re.compile(r"(?<![\w/+=-])[A-Za-z0-9_/+=-]{12,}+(?![\w/+=-])"),
 }
+#: characters by which a KEYED or TOKEN span is described; the span itself has any length
+DESCRIBED = 200
 _LONG = re.compile(r"\d{9,19}")
 _SENSITIVE = re.compile(r"pass|pwd|secret|token|key|auth|cred|bearer|login|api", re.I)
 _PERSONAL = re.compile(r"(?:\b|_)(?:e-?mail|mail|phone|call|tel|mobile|fax|ssn|social|security|card|visa|account|iban|contact|address|ip|host|server|from)(?:\b|_)", re.I)
@@ -89,7 +91,7 @@ FEATURES = 34
 
 def describe(text: str, c: tuple[int, int, str, int]) -> list[float]:
     a, z, kind, at = c
-    s = text[a:z]
+    s = text[a : min(z, a + DESCRIBED)] if kind in ("KEYED", "TOKEN") else text[a:z]
     n = len(s)
     digits = re.sub(r"\D", "", s) if s.isascii() else "".join(x for x in s if x in "0123456789")
     upper, lower = sum(map(str.isupper, s)), sum(map(str.islower, s))
