@@ -48,9 +48,24 @@ _SENSITIVE = re.compile(r"pass|pwd|secret|token|key|auth|cred|bearer|login|api",
 _PERSONAL = re.compile(r"(?:\b|_)(?:e-?mail|mail|phone|call|tel|mobile|fax|ssn|social|security|card|visa|account|iban|contact|address|ip|host|server|from)(?:\b|_)", re.I)
 _HARMLESS = re.compile(r"\b(?:version|v|release|chapter|section|page|isbn|order|invoice|issue|commit|sha|revision|build|licen[sc]e|public|date|year|total|price|amount|figure|table|ratio|score|rfc|step|line|BY-NC|CC)\b", re.I)
 
-# bytes that a text must hold for any generator to fire
+# bytes one of which a text must hold for a generator to fire: digits (also the first bytes of other scripts' ones) and marks
 _SPARK = np.zeros(256, bool)
-_SPARK[[*range(48, 58), ord("@"), ord("="), ord(":")]] = True
+_SPARK[[*range(48, 58), ord("@"), ord("="), ord(":"), 0xD9, 0xDB, 0xDF, 0xE0, 0xE1, 0xEA, 0xEF, 0xF0]] = True
+# but for TOKENs of capitals alone, which need a run of CAPITALS of these bytes
+CAPITALS = 16
+_CAPITAL = np.zeros(256, bool)
+_CAPITAL[[*range(65, 91), *map(ord, "_/+-")]] = True
+
+
+def _may_hold(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Which of the texts with these offsets, the first at 0, a generator may fire for."""
+    count = np.concatenate([[0], np.cumsum(_SPARK[data])])
+    some = count[off[1:]] > count[off[:-1]]
+    runs = np.concatenate([[0], np.cumsum(_CAPITAL[data])])
+    at = np.flatnonzero(runs[CAPITALS:] - runs[:-CAPITALS] == CAPITALS)
+    first = np.searchsorted(off, at, side="right") - 1
+    some[first[at + CAPITALS <= off[first + 1]]] = True
+    return some
 
 
 def luhn(digits: str) -> bool:
@@ -76,7 +91,7 @@ def candidates(text: str) -> list[tuple[int, int, str, int]]:
                     out.append((*m.span("value"), kind, m.start()))
             elif kind == "TOKEN":
                 t = m.group()
-                if any(c.isalpha() for c in t) and (any(c.isdigit() for c in t) or len(t) >= 16 and t.isupper()):
+                if any(c.isalpha() for c in t) and (any(c.isdigit() for c in t) or len(t) >= CAPITALS and t.isupper()):
                     out.append((*m.span(), kind, m.start()))
             elif kind != "COLONS" or any(c.isalnum() for c in m.group()):
                 out.append((*m.span(), kind, m.start()))
@@ -263,9 +278,7 @@ def _run(m: Model, col: pa.Array):
     n, told = np.zeros(len(col), np.int64), np.full(len(col), "", object)
     hits, new = [], []
     for first, last in pieces(off):
-        lo = off[first]
-        c = np.concatenate([[0], np.cumsum(_SPARK[data[lo : off[last]]])])
-        some = c[off[first + 1 : last + 1] - lo] > c[off[first:last] - lo]
+        some = _may_hold(data[off[first] : off[last]], off[first : last + 1] - off[first])
         for k in np.flatnonzero(some) + first:
             text = bytes(data[off[k] : off[k + 1]]).decode()
             spans = m.spans(text)

@@ -2,8 +2,11 @@
 
 import random
 import string
+import sys
 import time
 
+import numpy as np
+
 from chronogeo.llm import pii
 
 
@@ -27,3 +30,21 @@ def test_long_runs_are_searched_in_linear_time():
         t = time.process_time()
         pii.candidates(text)
         assert time.process_time() - t < 20
+
+
+def test_the_pre_check_passes_all_that_the_generators_propose(spark):
+    r = random.Random(6)
+    keys = ["AKIA" + "".join(r.choice(string.ascii_uppercase) for _ in range(16)) for _ in range(40)]
+    texts = [f"use {k} now" for k in keys] + keys + ["", "no key", "SHORT CAPITALS"]
+    m = pii.model()
+    got = {x.doc_id: x.text for x in pii.redacted(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: pii.redact(t, m.spans(t)) for i, t in enumerate(texts)}
+    assert got[0] == "use [SECRET] now" and sum("[SECRET]" in t for t in got.values()) > 70
+    # digits of every script, capitals with any joint, and runs that only two texts together would make
+    digits = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isdecimal()]
+    cases = [f"call {c * 10} now" for c in digits] + ["A" * 15 + c for c in "AZ_/+-="] + ["a@b", "ab: cd2e"]
+    for t in [x for x in cases if pii.candidates(x)]:
+        data = np.frombuffer(t.encode(), np.uint8)
+        assert pii._may_hold(data, np.array([0, len(data)])).all(), t
+    two = np.frombuffer(b"A" * 20, np.uint8)
+    assert pii._may_hold(two, np.array([0, 0, 10, 20])).tolist() == [False] * 3
