@@ -133,7 +133,7 @@ def matches(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """
     index = index_of(bench)
     if index is None:
-        return _joined(docs, bench)
+        return _joined(docs, bench).drop("d")
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(b: pa.RecordBatch):
@@ -170,10 +170,14 @@ def _seeds(df: DataFrame, name: str) -> DataFrame:
     return arrow_map(df, run, f"{name} long, h long")
 
 
+def _row_key():
+    """A row's doc_id and text as one number: rows that share it are contaminated alike."""
+    return F.xxhash64(F.coalesce("doc_id", F.lit(NULL_ID)), F.coalesce("text", F.lit("")))
+
+
 def _joined(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """matches() for a benchmark of any size: a shuffle join on the seeds, then tiling pair by pair."""
-    text = F.coalesce("text", F.lit(""))
-    d = docs.select("doc_id", text.alias("text"), F.xxhash64(F.coalesce("doc_id", F.lit(NULL_ID)), text).alias("d"))
+    """matches(), and each row's key d, for a benchmark of any size: a shuffle join on the seeds, then tiling pair by pair."""
+    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _row_key().alias("d"))
     t = bench.select("item_id", "text").where("item_id is not null and text is not null").withColumn("b", F.xxhash64("item_id", "text"))
     both = _seeds(d.select("d", "text").dropDuplicates(["d"]), "d").join(_seeds(t.select("b", "text").dropDuplicates(["b"]), "b"), "h")
     pairs = both.select("d", "b").distinct()
@@ -184,9 +188,10 @@ def _joined(docs: DataFrame, bench: DataFrame) -> DataFrame:
         for k in range(len(off) - 1):
             index = Index([b.column("item_id")[k].as_py()], b.column("item_text")[k : k + 1])
             found = _pairs(index, data, off, k, k + 1)
-            yield _batch(found, b.column("doc_id").take(pa.array([x[0] for x in found], pa.int64())), index.ids)
+            rows = pa.array([x[0] for x in found], pa.int64())
+            yield _batch(found, b.column("doc_id").take(rows), index.ids).append_column("d", b.column("d").take(rows))
 
-    return arrow_map(full.select("doc_id", "text", "item_id", "item_text"), run, SCHEMA)
+    return arrow_map(full.select("doc_id", "d", "text", "item_id", "item_text"), run, SCHEMA + ", d long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,8 +202,9 @@ def clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that cover no item of bench; cases as in matches()."""
     index = index_of(bench)
     if index is None:
-        bad = matches(docs, bench).select(F.col("doc_id").alias("_bad")).distinct()
-        return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+        name = "_bad" + "_" * max(map(len, docs.columns))  # no column of docs is so called
+        bad = _joined(docs, bench).select(F.col("d").alias(name)).distinct()
+        return docs.join(bad, _row_key() == F.col(name), "left_anti")
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(it):

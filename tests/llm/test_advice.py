@@ -6,8 +6,9 @@ import sys
 import time
 
 import numpy as np
+import pytest
 
-from chronogeo.llm import pii
+from chronogeo.llm import decontaminate, pii
 
 
 def mixed(r, n):
@@ -48,3 +49,20 @@ def test_the_pre_check_passes_all_that_the_generators_propose(spark):
         assert pii._may_hold(data, np.array([0, len(data)])).all(), t
     two = np.frombuffer(b"A" * 20, np.uint8)
     assert pii._may_hold(two, np.array([0, 0, 10, 20])).tolist() == [False] * 3
+
+
+@pytest.mark.parametrize("index_bytes", [decontaminate.INDEX_BYTES, 0])
+def test_decontamination_is_by_row_at_any_size(spark, monkeypatch, index_bytes):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", index_bytes)
+    item = "the quick brown fox jumps over the lazy dog"
+    data = [(None, item), (None, "clean words"), (None, None), (None, "clean words"), (1, item), (1, "other clean words"), (1, "lead " + item), (2, item), (2, item), (3, "")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    want = sorted([(i, t) for i, t in data if item not in (t or "")], key=repr)
+    for d in (docs, docs.select("*", *[F.lit("x").alias(c) for c in ("_bad", "_BAD_", "d", "b", "h", "item_id", "item_text")])):
+        out = decontaminate.clean(d, bench)
+        assert out.columns == d.columns
+        assert sorted([(r.doc_id, r.text) for r in out.collect()], key=repr) == want
+        assert sorted([(r.doc_id, r.item_id) for r in decontaminate.matches(d, bench).collect()], key=repr) == sorted([(i, 7) for i, t in data if item in (t or "")], key=repr)
