@@ -3,7 +3,8 @@
 A vector is approximated by a sum of codewords, one of each of LEVELS codebooks, all of the vectors' full dimension.  The
 codebooks are fitted to residuals by Lloyd's iterations over all rows; codes are found by beam search; the norm of each
 approximation is stored, so that a query's distance to it is read from tables of inner products.  The best approximate
-distances are then reranked exactly.
+distances are then reranked exactly, and with them every row whose approximation's error leaves room for a smaller distance
+than the last of the best: of the cells that a query visits the result is exact, ties included.
 
 Every row is a query.  The first level is an inverted file: rows lie in the cell of their nearest coarse codeword, whose
 number grows with the square root of the table, and a query visits the nearest PROBE_SHARE of them.  Work so grows with the
@@ -26,8 +27,10 @@ BEAM = 6
 ITERATIONS = 4
 #: share of the cells that a query visits: even for vectors without any clusters recall stays above 0.9
 PROBE_SHARE = 0.75
-#: candidates of each visited cell, by approximate distance, that are reranked exactly
+#: candidates of each visited cell, by approximate distance, whose exact distances bound which other rows are reranked
 RERANK = 64
+#: relative error that is allowed for in distances of 32 bits, and in those of 64 bits by inner products
+LOOSE, TIGHT = 1e-5, 1e-12
 #: a cell with more rows is compared in several tasks
 CELL_ROWS = 8192
 
@@ -120,12 +123,59 @@ def train(emb: DataFrame, dim: int, n: int) -> list[np.ndarray]:
     coarse = int(max(1, min(n, round(n**0.5 / 2))))
     pick = emb.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max(coarse, CODES)).select("vec_id", "embedding").toPandas()
     start = np.stack([np.asarray(v, np.float32) for v in pick["embedding"]])
-    books = [lloyd(emb, dim, [], start[:coarse])]
+    books = [np.unique(lloyd(emb, dim, [], start[:coarse]), axis=0)]  # equal codewords would be cells that no row lies in
     for _ in range(LEVELS):
         books.append(lloyd(emb, dim, books, residual(start[:CODES], books), ITERATIONS))
     return books
 
 
+def first_of_equal(x: np.ndarray, most: int) -> np.ndarray:
+    """The rows of x that fewer than `most` rows before them equal: no others can be among the nearest, as ties go to the first."""
+    _, same = np.unique(np.ascontiguousarray(x).view(f"V{x.shape[1] * x.itemsize}").ravel(), return_inverse=True)
+    order = np.argsort(same, kind="stable")
+    group = same[order]
+    return np.sort(order[np.arange(len(order)) - np.searchsorted(group, group) < most])
+
+
+def exact_best(q: np.ndarray, x: np.ndarray, own: np.ndarray, score: np.ndarray, err: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row of x, squared distance) of each query's `top` nearest rows; ties go to the first row.
+
+    score: squared distances to the rows' approximations, which lie err from them; own: each query's own row, or -1.
+    """
+    q = q.astype(np.float64)
+    qq, xx = (q * q).sum(1), np.einsum("ij,ij->i", x, x, dtype=np.float64)
+    mine = np.flatnonzero(own >= 0)
+    k = min(max(RERANK, top + 1), len(x))
+    if k < len(x):
+        near = np.argpartition(score, k - 1, axis=1)[:, :k]
+        d = ((x[near] - q[:, None]) ** 2).sum(2)
+        d[near == own[:, None]] = np.inf
+        last = np.sqrt(np.partition(d, top - 1, axis=1)[:, top - 1])
+        # 32 bits keep a squared distance to LOOSE of the squares that it is a difference of
+        room = last[:, None] + err
+        far = np.isfinite(score) & (score > room * room + LOOSE * (qq[:, None] + xx + err * err))
+        cols = np.flatnonzero(~far.all(0))
+    else:
+        cols = np.arange(len(x))
+    y = x[cols].astype(np.float64)
+    d = qq[:, None] + xx[cols] - 2 * (q @ y.T)
+    at = np.searchsorted(cols, own[mine])
+    hit = at < len(cols)
+    hit[hit] = cols[at[hit]] == own[mine][hit]
+    d[mine[hit], at[hit]] = np.inf
+    t = min(top, len(cols))
+    last = np.partition(d, t - 1, axis=1)[:, t - 1]
+    i, j = np.nonzero((d <= (last + TIGHT * (qq + xx.max()))[:, None]) & (d < np.inf))
+    out = []
+    for a in range(0, len(i), 1 << 16):
+        out.append(((y[j[a : a + (1 << 16)]] - q[i[a : a + (1 << 16)]]) ** 2).sum(1))
+    e = np.concatenate(out) if out else np.zeros(0)
+    order = np.lexsort((j, e, i))
+    i, j, e = i[order], j[order], e[order]
+    best = np.arange(len(i)) - np.searchsorted(i, i) < top
+    return i[best], cols[j[best]], e[best]
+
+
 def neighbours(emb: DataFrame, top: int = TOP) -> DataFrame:
     """(vec_id, neighbour_id, rank, distance): each vector's `top` nearest others by Euclidean distance.
 
@@ -169,7 +219,7 @@ def neighbours(emb: DataFrame, top: int = TOP) -> DataFrame:
         for b in it:
             x = np.frombuffer(b"".join(b.column("x").to_pylist()), np.float32).reshape(-1, dim)
             d = half - x @ c.T
-            near = np.argpartition(d, probes - 1, axis=1)[:, :probes]
+            near = np.argsort(d, axis=1, kind="stable")[:, :probes]
             i = np.repeat(np.arange(len(x)), probes)
             yield pa.record_batch({"cell": i64(near.ravel()), "vec_id": b.column("vec_id").take(pa.array(i)), "x": b.column("x").take(pa.array(i))})
 
@@ -202,8 +252,15 @@ def neighbours(emb: DataFrame, top: int = TOP) -> DataFrame:
             x = np.frombuffer(b"".join(cols["x"][k] for k in data), np.float32).reshape(-1, dim)
             codes = np.frombuffer(b"".join(cols["codes"][k] for k in data), np.int32).reshape(-1, len(books)) + shift
             norm = np.array([cols["norm"][k] for k in data], np.float32)
-            xid = ids[data]
-            step = max(1, min(512, (4 << 20) // max(len(data), 1)))
+            xid = ids[data]  # ascending
+            first = first_of_equal(x, top + 1)
+            x, codes, norm, xid = x[first], codes[first], norm[first], xid[first]
+            approx = whole[codes[:, 0]].astype(np.float64)
+            for m in range(1, len(books)):
+                approx += whole[codes[:, m]]
+            err = np.sqrt(((x - approx) ** 2).sum(1))
+            del approx
+            step = max(1, min(512, (2 << 20) // max(len(x), 1)))
             for s in range(0, len(quest), step):
                 qs = quest[s : s + step]
                 q = np.frombuffer(b"".join(cols["x"][k] for k in qs), np.float32).reshape(-1, dim)
@@ -211,16 +268,12 @@ def neighbours(emb: DataFrame, top: int = TOP) -> DataFrame:
                 score = np.repeat(norm[None], len(q), 0)
                 for m in range(len(books)):
                     score -= 2 * lut[:, codes[:, m]]
-                k = min(RERANK, len(data))
-                near = np.argpartition(score, k - 1, axis=1)[:, :k] if k < len(data) else np.repeat(np.arange(len(data))[None], len(q), 0)
-                exact = ((x[near] - q[:, None].astype(np.float64)) ** 2).sum(2)
-                exact[xid[near] == ids[qs][:, None]] = np.inf
-                t = min(top, k)
-                best = np.lexsort((xid[near], exact), axis=1)[:, :t]
-                d = np.take_along_axis(exact, best, 1)
-                nb = np.take_along_axis(xid[near], best, 1)
-                ok = np.isfinite(d)
-                found.append((np.repeat(ids[qs], t)[ok.ravel()], nb[ok], np.sqrt(d[ok])))
+                score += (q * q).sum(1)[:, None]
+                own = np.searchsorted(xid, ids[qs])
+                own[own == len(xid)] = 0
+                own = np.where(xid[own] == ids[qs], own, -1)
+                i, j, d = exact_best(q, x, own, score, err, top)
+                found.append((ids[qs][i], xid[j], np.sqrt(d)))
         if not found:
             return
         # of what a task's cells hold only the best go on

@@ -8,7 +8,7 @@ import time
 import numpy as np
 import pytest
 
-from chronogeo.llm import decontaminate, pii
+from chronogeo.llm import ann, decontaminate, pii
 
 
 def mixed(r, n):
@@ -66,3 +66,39 @@ def test_decontamination_is_by_row_at_any_size(spark, monkeypatch, index_bytes):
         assert out.columns == d.columns
         assert sorted([(r.doc_id, r.text) for r in out.collect()], key=repr) == want
         assert sorted([(r.doc_id, r.item_id) for r in decontaminate.matches(d, bench).collect()], key=repr) == sorted([(i, 7) for i, t in data if item in (t or "")], key=repr)
+
+
+def nearest_by_brute_force(x, top):
+    """Rows' nearest others; ties go to the least row."""
+    y = x.astype(np.float64)
+    return np.array([np.lexsort((np.arange(len(y)), np.where(np.arange(len(y)) == i, np.inf, ((y - y[i]) ** 2).sum(1))))[:top] for i in range(len(y))])
+
+
+def test_neighbours_in_dense_groups_and_among_equals(spark):
+    r = np.random.default_rng(7)
+    x = r.normal(size=(8000, 64)).astype(np.float32)
+    x[:2000] = x[0] + 0.01 * r.normal(size=(2000, 64))  # near copies
+    x[2000:2300] = x[2000]  # copies
+    emb = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    got = {}
+    for n in ann.neighbours(emb).collect():
+        got.setdefault(n.vec_id, {})[n["rank"]] = n.neighbour_id
+    want = nearest_by_brute_force(x, ann.TOP)
+    mine = np.array([[got[i][k + 1] for k in range(ann.TOP)] for i in range(len(x))])
+    recall = lambda a, z: np.mean([len({*mine[i]} & {*want[i]}) / ann.TOP for i in range(a, z)])
+    print("recall: dense group", recall(0, 2000), "others", recall(2300, 8000))
+    assert recall(0, 2000) >= 0.99 and recall(2300, 8000) >= 0.9
+    assert (mine[2000:2300] == want[2000:2300]).all()  # the least ids of the equal ones
+
+
+def test_exact_best_is_brute_force():
+    r = np.random.default_rng(3)
+    for n, spread in ((5, 1.0), (300, 1.0), (300, 1e-4), (300, 0.0)):
+        x = (5 + spread * r.normal(size=(n, 8))).astype(np.float32)
+        x = x[ann.first_of_equal(x, 11)]
+        for noise in (0.0, 1.0, 30.0):  # approximations, however bad, only cost time
+            a = x + noise * r.normal(size=x.shape)
+            score = (((x[:, None] - a[None]) ** 2).sum(2)).astype(np.float32)
+            i, j, _ = ann.exact_best(x, x, np.arange(len(x)), score, np.sqrt(((x - a) ** 2).sum(1)), 10)
+            want = nearest_by_brute_force(x, 10)[:, : len(x) - 1]
+            assert (j.reshape(len(x), -1) == want).all() and (i.reshape(len(x), -1) == np.arange(len(x))[:, None]).all()
