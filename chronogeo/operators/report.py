@@ -49,3 +49,15 @@ def score_report(events: DataFrame) -> DataFrame:
 def top_titles(events: DataFrame, year: str, top: int = 10) -> DataFrame:
     rows = events.where(F.substring("date_start", 1, 4) == year)
     return rows.select("id", "title", "notability").orderBy(F.desc_nulls_last("notability"), "id").limit(top)
+
+
+def precision_samples(events: DataFrame, precision: str = "year", top: int = 10) -> DataFrame:
+    """The most notable of all events whose dates have this precision."""
+    rows = events.where(F.col("date_precision") == precision)
+    return rows.select("id", "title", "date_start", "date_precision", "notability").orderBy(F.desc_nulls_last("notability"), "id").limit(top)
+
+
+def unclassified_foundings(events: DataFrame, top: int = 20) -> DataFrame:
+    """The most notable foundings of no kind."""
+    rows = events.where("category = 'founding' AND founding_kind IS NULL").orderBy(F.desc_nulls_last("notability"), "id").limit(top)
+    return rows.select("id", "notability", F.substring("title", 1, 40).alias("title"), F.substring(F.coalesce("blurb", F.lit("(none)")), 1, 70).alias("blurb"))

@@ -93,6 +93,8 @@ SELECT c_custkey, array_to_string(list_transform(range(CASE WHEN v >= 2176782336
     "year_span": f"WITH {RAW} SELECT min(substr(date_start, 1, 4)) AS lo, max(substr(date_start, 1, 4)) AS hi, count(*) AS total FROM raw",
     "modal_version": f"WITH {RAW} SELECT ingest_version, count(*) AS c FROM raw GROUP BY 1 ORDER BY c DESC, ingest_version LIMIT 1",
     "year_samples": f"WITH {RAW} SELECT id, title, notability FROM raw WHERE substr(date_start, 1, 4) = '1912' ORDER BY notability DESC NULLS LAST, id LIMIT 10",
+    "year_precision_samples": f"WITH {RAW} SELECT id, title, date_start, date_precision, notability FROM raw WHERE date_precision = 'year' ORDER BY notability DESC NULLS LAST, id LIMIT 10",
+    "unclassified_foundings": f"WITH {CLASSED} SELECT id, notability, substr(title, 1, 40) AS title, substr(coalesce(blurb, '(none)'), 1, 70) AS blurb FROM cls WHERE category = 'founding' AND founding_kind IS NULL ORDER BY notability DESC NULLS LAST, id LIMIT 20",
     "series_detect": f"WITH {SIGNED}, {_SERIES} SELECT * FROM ser",
     "series_delete": f"WITH {SIGNED}, {_SERIES} SELECT id FROM raw WHERE NOT ({_YEARLY} AND ingest_version NOT LIKE 'seed-%' AND substr(title, 6) IN (SELECT series FROM ser WHERE {_KEEP}))",
     "series_doomed": f"WITH {SIGNED}, {_SERIES} SELECT count(*) AS n_series, coalesce(sum(n - seeded), 0)::BIGINT AS n_rows, {round_to('coalesce(sum(n - seeded), 0)::DOUBLE * 100::DOUBLE / (SELECT count(*) FROM raw)', 2)} AS percent FROM ser WHERE {_KEEP}",

@@ -269,6 +269,16 @@ def year_samples(spark, d):
     return report.top_titles(geo_events(spark, d), "1912")
 
 
+@register
+def year_precision_samples(spark, d):
+    return report.precision_samples(geo_events(spark, d))
+
+
+@register
+def unclassified_foundings(spark, d):
+    return report.unclassified_foundings(classified(spark, d))
+
+
 @register
 def series_detect(spark, d):
     return curate.series(scored_events(spark, d))
