@@ -6,6 +6,7 @@ from . import ann, chat, decontaminate, jaccard_join, langid, mixing, pii, quali
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
+    "op1_substring_dedup_all_lines": substring_dedup.query_all_lines,
     "op2_ngram_jaccard_join": jaccard_join.query,
     "op3_nearest_neighbours": ann.query,
     "op4_suffix_array_dedup": suffix_dedup.query,
@@ -19,6 +20,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_substring_dedup": substring_dedup.SQL,
+    "op1_substring_dedup_all_lines": substring_dedup.SQL_ALL_LINES,
     "op2_ngram_jaccard_join": jaccard_join.SQL,
     "op4_suffix_array_dedup": suffix_dedup.SQL,
     "op9_chat_formatting": chat.SQL,

@@ -129,6 +129,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"))
 
 
+def query_all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line that has a word is a unit, however short."""
+    return dedup(table(spark, sf_dir, "documents"), 1)
+
+
 SQL = f"""
 WITH lines AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
@@ -151,3 +156,5 @@ kept AS (
 SELECT doc_id, coalesce(body, '') || CASE WHEN cut_end AND n_kept > 0 THEN chr(10) ELSE '' END AS text, n_removed, coalesce(removed, '') AS removed
 FROM kept
 """
+
+SQL_ALL_LINES = SQL.replace(f">= {MIN_WORDS}\n", ">= 1\n")

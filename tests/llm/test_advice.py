@@ -8,7 +8,7 @@ import time
 import numpy as np
 import pytest
 
-from chronogeo.llm import ann, decontaminate, pii
+from chronogeo.llm import ann, decontaminate, pii, queries, substring_dedup
 
 
 def mixed(r, n):
@@ -102,3 +102,12 @@ def test_exact_best_is_brute_force():
             i, j, _ = ann.exact_best(x, x, np.arange(len(x)), score, np.sqrt(((x - a) ** 2).sum(1)), 10)
             want = nearest_by_brute_force(x, 10)[:, : len(x) - 1]
             assert (j.reshape(len(x), -1) == want).all() and (i.reshape(len(x), -1) == np.arange(len(x))[:, None]).all()
+
+
+def test_short_lines_are_units(spark, tmp_path):
+    assert substring_dedup.SQL_ALL_LINES != substring_dedup.SQL
+    chinese = "这是一个很长的没有空格的句子"
+    data = [(1, "All rights reserved.\n" + chinese), (2, "one of its own\nall rights  RESERVED"), (3, chinese + "\n---\n"), (4, "---")]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op1_substring_dedup_all_lines"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.text for r in got} == {1: data[0][1], 2: "one of its own\n", 3: "---\n", 4: "---"}
