@@ -2,18 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the cluster's shared folder; only where none is set (local tests) one of this machine."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="chronogeo-"))
-    return df.checkpoint()
+from ..storage import cut
 
 
 def type_closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
