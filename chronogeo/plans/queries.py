@@ -15,7 +15,7 @@ from ..model import EngineConfig
 from ..operators import curate, graph, report, search, store
 from ..operators import timeline as T
 from ..sources import dump, wikitext
-from ..sources.fixtures import classified, geo_events, requests, scored_events
+from ..sources.fixtures import classified, geo_events, requests, scored_events, scored_table
 from ..streaming.limiter import limited
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +33,7 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _matches(spark, d, cfg: EngineConfig = EngineConfig()) -> DataFrame:
-    return T.matches(scored_events(spark, d), requests(spark, d), cfg)
+    return T.matches(scored_table(spark, d), requests(spark, d), cfg)
 
 
 # --- timeline ---------------------------------------------------------------------------------------------------------
@@ -41,7 +41,7 @@ def _matches(spark, d, cfg: EngineConfig = EngineConfig()) -> DataFrame:
 
 @register
 def timeline_flagship(spark, d):
-    return T.timeline(scored_events(spark, d), requests(spark, d), n_segments=2).select(*ENTRY)
+    return T.timeline(scored_table(spark, d), requests(spark, d), n_segments=2).select(*ENTRY)
 
 
 @register
@@ -52,7 +52,7 @@ def timeline_total_matched(spark, d):
 @register
 def timeline_config_floor(spark, d):
     cfg = EngineConfig.of(significance_floor=0.5, scope_floor={"local": 0.3}, max_per_segment=6)
-    return T.timeline(scored_events(spark, d), requests(spark, d), cfg, 2).select("person", "segment_index", "id", "score")
+    return T.timeline(scored_table(spark, d), requests(spark, d), cfg, 2).select("person", "segment_index", "id", "score")
 
 
 @register
@@ -62,15 +62,13 @@ def timeline_matches(spark, d):
 
 @register
 def timeline_payload(spark, d):
-    m = _matches(spark, d)
-    p = T.payload(T.draw(m, segments=2).drop("tier"), m, "dump-v0")
+    p = T.payload(*T.timeline_and_totals(scored_table(spark, d), requests(spark, d), n_segments=2), "dump-v0")
     return p.select("person", "total_matched", "returned", F.array_join(F.transform(F.coalesce("entries", F.expr("slice(entries, 1, 0)")), lambda x: x["id"]), ",").alias("ids"), "dataset_version")
 
 
 @register
 def timeline_markdown(spark, d):
-    m = _matches(spark, d)
-    return T.markdown(T.payload(T.draw(m, segments=2).drop("tier"), m, "dump-v0"))
+    return T.markdown(T.payload(*T.timeline_and_totals(scored_table(spark, d), requests(spark, d), n_segments=2), "dump-v0"))
 
 
 @register

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.classify import founding_kind
 from ..functions.scoring import scored
 from ..model import with_missing_columns
+from ..storage import stored
 
 DEMO = (("Pueblo", 38.2544, -104.6091), ("Chicago", 41.8781, -87.6298))
 
@@ -81,3 +82,14 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(classified(spark, sf_dir))
+
+
+_tables: dict[tuple[str, str], DataFrame] = {}
+
+
+def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """scored_events as a table, written once by each application: scores are frozen when the events are built, not with each query."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _tables:
+        _tables[key] = stored(scored_events(spark, sf_dir))
+    return _tables[key]
