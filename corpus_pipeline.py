@@ -15,7 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chronogeo.llm import decontaminate, jaccard_join, langid, mixing, pii
-from chronogeo.llm.common import shared_dir, table
+from chronogeo.llm.common import table
+from chronogeo.storage import delete, delete_on_exit, shared_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -32,11 +33,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows. Each stage's result goes to a folder of its own in the cluster's shared directory."""
+    """The last stage's rows. Each stage's result goes to a folder of its own in the cluster's shared directory, and is deleted when
+    the next one's is written; the last one's is deleted when the driver ends."""
     docs = table(spark, sf_dir, "documents")
     at = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    delete_on_exit(spark, at)
+    last = None
     for name, stage in STAGES:
         path = f"{at}/{name}"
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
-        docs = spark.read.parquet(path)
+        if last:
+            delete(spark, last)
+        docs, last = spark.read.parquet(path), path
     return docs
