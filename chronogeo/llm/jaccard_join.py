@@ -1,7 +1,8 @@
 """N-gram Jaccard join with token-combination prefixes.
 
-A document's set holds the hashes of its word N-grams (all its words as one gram, if it has fewer than N).  Documents with
-equal sets are collapsed to one set; the distinct sets are joined exactly at Jaccard >= THETA:
+A document's set holds the hashes of its word N-grams (all its words as one gram, if it has fewer than N), of HASH_BITS bits
+at every step, so that Jaccard is exact but for collisions of them (less than one in a thousand in a pair of texts of
+300,000 words).  Documents with equal sets are collapsed to one set; the distinct sets are joined at Jaccard >= THETA:
 
 1. Order. Grams go, packed, to one task per bucket of their hashes, where those of one set only end.  The others come back
    to their sets, with their document frequency, by which they are ordered.  What only one set has can't be shared, so
@@ -14,8 +15,12 @@ equal sets are collapsed to one set; the distinct sets are joined exactly at Jac
 3. Candidates. Signatures are sent, packed, to one task per bucket of their hashes.  A posting does not become all pairs
    of its sets but a star about its least member, so a group of thousands of near copies costs a few edges per member.
 4. Verification. A star's sets go to one task (to a triangle of tasks, if there are many), first as bitmaps, a fraction of
-   their size, which tell for most pairs that they share too little.  Pairs that are left are shared out, each to one star,
-   whose sets go to its task in full, to be intersected.
+   their size, which tell for most pairs that they share too little.  Sets with a likely partner go to the star's task
+   again, in full, to be intersected.  A pair that lies in several stars belongs to the one of the least leader: every member
+   knows the lesser leaders of its other stars, so that tasks can tell without sending pairs.
+
+What leaves the tasks is a number of links and a root for each set of a star, not pairs: a group of thousands of near copies
+has millions of links, but a row a document.
 """
 
 from __future__ import annotations
@@ -33,12 +38,25 @@ N = 3
 THETA = (3, 5)
 #: grams of at least this share of the sets are of the frequent class
 FREQUENT = 0.005
-HASH_BITS = 53
+HASH_BITS = 50
 PIECE_DOCS = 1 << 11
 #: most sets of one star that one task compares with each other
 STAR = 2048
 
 _HASH = np.uint64((1 << HASH_BITS) - 1)
+#: buckets of grams, at least: what a gram's bucket does not tell of it then fits 48 bits
+LEAST_BUCKETS = 1 << (HASH_BITS - 48)
+
+
+def _six(x: np.ndarray) -> bytes:
+    """uint64 below 2^48 in six bytes each."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _from_six(data: bytes) -> np.ndarray:
+    x = np.zeros((len(data) // 6, 8), np.uint8)
+    x[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return x.view(np.uint64)[:, 0]
 
 
 def least_overlap(n):
@@ -69,7 +87,7 @@ def gram_sets(w: Words) -> tuple[np.ndarray, np.ndarray]:
                     v = v * np.uint64(0xD1342543DE82EF95) + t
                 more[x] = v
         h, doc = np.concatenate([h, mix(more)]), np.concatenate([doc, few])
-    # one 64-bit sort: 11 bits of document, 53 of hash
+    # one 64-bit sort: 14 bits of document, the others of hash
     key = np.unique(doc.astype(np.uint64) << np.uint64(HASH_BITS) | (h & _HASH))
     bounds = np.append(np.searchsorted(key, np.arange(n).astype(np.uint64) << np.uint64(HASH_BITS)), len(key))
     return key & _HASH, bounds
@@ -82,21 +100,21 @@ def digests(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.xxhash64(text).alias("row_key"), text.alias("text")).where("doc_id is not null")
 
 
 def survey(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, size) of each document's set."""
+    """(doc_id, row_key, digest) of each document's set; the digest is null for texts without words."""
 
     def run(b: pa.RecordBatch):
         data, off = buffer_of(b.column("text"))
-        ids = np.asarray(b.column("doc_id"))
         for first, last in _pieces(off):
             h, bounds = gram_sets(Words(data, off, first, last))
-            some = np.diff(bounds) > 0
-            yield pa.record_batch({"doc_id": i64(ids[first:last][some]), "digest": signed(digests(h, bounds)[some]), "size": i64(np.diff(bounds)[some])})
+            none = np.diff(bounds) == 0
+            yield pa.record_batch({"doc_id": b.column("doc_id")[first:last], "row_key": b.column("row_key")[first:last], "digest": pa.array(digests(h, bounds).view(np.int64), pa.int64(), mask=none)})
 
-    return arrow_map(_texts(docs), run, "doc_id long, digest long, size long")
+    return arrow_map(_texts(docs), run, "doc_id long, row_key long, digest long")
 
 
 #: columns of the messages by which sets get their shared grams back
@@ -104,21 +122,26 @@ RETURN = ("sets", "sizes", "counts", "low", "level")
 PACKED = "bucket int, sets binary, sizes binary, counts binary, sigs binary"
 
 
-def _packed(it, buckets: int):
-    """Messages, one for each bucket, of signatures (in order of sets, `counts` of each set) from tuples (digests, sizes, counts, signatures)."""
+def _packed(it, buckets: int, whole: bool):
+    """Messages, one for each bucket, of signatures (in order of sets, `counts` of each set) from tuples (digests, sizes, counts, signatures).
+
+    whole: bucket and message tell all of a signature, a gram of HASH_BITS bits; else 32 bits of it go, which is enough to
+    propose candidates.
+    """
 
     def flush():
         dig, size, count, sig = (np.concatenate(x) for x in zip(*held))
-        bucket = ((sig >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+        n = np.uint64(buckets)
+        bucket = (sig % n if whole else (sig >> np.uint64(32)) % n).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
         order = np.argsort(bucket, kind="stable")
-        doc, low = np.repeat(np.arange(len(count), dtype=np.int32), count)[order], sig.astype(np.uint32)[order]
+        doc, low = np.repeat(np.arange(len(count), dtype=np.int32), count)[order], (sig // n if whole else sig.astype(np.uint32))[order]
         edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
         rows: dict[str, list] = {k: [] for k in ("bucket", "sets", "sizes", "counts", "sigs")}
         for r in np.flatnonzero(np.diff(edge)):
             a, z = edge[r], edge[r + 1]
             new = np.flatnonzero(np.diff(doc[a:z], prepend=-1))
             d = doc[a:z][new]
-            for k, v in (("bucket", r), ("sets", dig[d].tobytes()), ("sizes", size[d].astype(np.int32).tobytes()), ("counts", np.diff(new, append=z - a).astype(np.int32).tobytes()), ("sigs", low[a:z].tobytes())):
+            for k, v in (("bucket", r), ("sets", dig[d].tobytes()), ("sizes", size[d].astype(np.int32).tobytes()), ("counts", np.diff(new, append=z - a).astype(np.int32).tobytes()), ("sigs", _six(low[a:z]) if whole else low[a:z].tobytes())):
                 rows[k].append(v)
         return pa.record_batch({"bucket": pa.array(rows["bucket"], pa.int32()), **{k: pa.array(rows[k], pa.binary()) for k in ("sets", "sizes", "counts", "sigs")}})
 
@@ -133,9 +156,9 @@ def _packed(it, buckets: int):
         yield flush()
 
 
-def _postings(it):
+def _postings(it, whole: bool):
     """(digests of the sets, their sizes, signature by posting entry, set by entry, bucket) of a bucket's messages, in order of
-    signatures, without signatures of one set; None if nothing is left."""
+    signatures, without signatures of one set; None if nothing is left. whole: as in _packed()."""
     cols = {k: [] for k in ("bucket", "sets", "sizes", "counts", "sigs")}
     for b in it:
         for k in cols:
@@ -143,11 +166,26 @@ def _postings(it):
     if not cols["sigs"]:
         return None
     bucket = cols["bucket"][0]
-    dig, size, count, sig = (np.frombuffer(b"".join(cols.pop(k)), t) for k, t in (("sets", np.uint64), ("sizes", np.int32), ("counts", np.int32), ("sigs", np.uint32)))
+    dig, size, count = (np.frombuffer(b"".join(cols.pop(k)), t) for k, t in (("sets", np.uint64), ("sizes", np.int32), ("counts", np.int32)))
+    sig = b"".join(cols.pop("sigs"))
     uniq, of = np.unique(dig, return_inverse=True)  # equal sets are one
     size_of = np.zeros(len(uniq), np.int64)
     size_of[of] = size
-    key = sig.astype(np.uint64)
+    if whole:
+        sig, member = _from_six(sig), np.repeat(of.astype(np.uint32), count)
+        order = np.argsort(sig)
+        same = np.append(False, sig[order[1:]] == sig[order[:-1]])
+        same[:-1] |= same[1:]
+        order = order[same]  # only those that occur again are put in full order
+        sig, member = sig[order], member[order]
+        order = np.lexsort((member, sig))
+        sig, member = sig[order], member[order]
+        new = np.append(True, (sig[1:] != sig[:-1]) | (member[1:] != member[:-1]))[: len(sig)]
+        sig, member = sig[new], member[new]
+        shared = np.append(False, sig[1:] == sig[:-1])[: len(sig)]
+        shared[:-1] |= shared[1:]
+        return (uniq, size_of, sig[shared], member[shared].astype(np.int64), bucket) if shared.any() else None
+    key = np.frombuffer(sig, np.uint32).astype(np.uint64)
     del sig
     key <<= np.uint64(32)
     key |= np.repeat(of.astype(np.uint32), count)
@@ -176,10 +214,10 @@ def repeated(docs: DataFrame, buckets: int, frequent: int) -> DataFrame:
                     h, bounds = gram_sets(Words(data, off, first, last))
                     yield digests(h, bounds), np.diff(bounds), np.diff(bounds), h
 
-        yield from _packed(parts(), buckets)
+        yield from _packed(parts(), buckets, True)
 
     def back(it):
-        p = _postings(it)
+        p = _postings(it, True)
         if p is None:
             return
         uniq, size, sig, member, bucket = p
@@ -188,14 +226,14 @@ def repeated(docs: DataFrame, buckets: int, frequent: int) -> DataFrame:
         level = np.repeat(level_of(df), df)
         goes = (uniq % np.uint64(buckets)).astype(np.int64)[member]
         order = np.lexsort((member, goes))
-        goes, sig, level, member = goes[order], sig[order].astype(np.uint32), level[order], member[order]
+        goes, sig, level, member = goes[order], sig[order], level[order], member[order]
         edge = np.searchsorted(goes, np.arange(buckets + 1))
         rows: dict[str, list] = {k: [] for k in ("goes", *RETURN)}
         for r in np.flatnonzero(np.diff(edge)):
             a, z = edge[r], edge[r + 1]
             new = np.flatnonzero(np.diff(member[a:z], prepend=-1))
             m = member[a:z][new]
-            for k, v in (("goes", r), ("sets", uniq[m].tobytes()), ("sizes", size[m].astype(np.int32).tobytes()), ("counts", np.diff(new, append=z - a).astype(np.int32).tobytes()), ("low", sig[a:z].tobytes()), ("level", level[a:z].tobytes())):
+            for k, v in (("goes", r), ("sets", uniq[m].tobytes()), ("sizes", size[m].astype(np.int32).tobytes()), ("counts", np.diff(new, append=z - a).astype(np.int32).tobytes()), ("low", _six(sig[a:z])), ("level", level[a:z].tobytes())):
                 rows[k].append(v)
         n = len(rows["goes"])
         yield pa.record_batch({"goes": pa.array(rows["goes"], pa.int32()), "bucket": pa.array(np.full(n, bucket, np.int32)), **{k: pa.array(rows[k], pa.binary()) for k in RETURN}})
@@ -211,7 +249,7 @@ def repeated(docs: DataFrame, buckets: int, frequent: int) -> DataFrame:
         size = np.frombuffer(b"".join(cols["sizes"]), np.int32).astype(np.int64)
         n = np.frombuffer(b"".join(cols["counts"]), np.int32)
         bucket = np.repeat(np.array(cols["bucket"], np.uint64), [len(x) // 8 for x in cols["sets"]])
-        gram = np.frombuffer(b"".join(cols["low"]), np.uint32).astype(np.uint64) | np.repeat(bucket, n) << np.uint64(32)
+        gram = _from_six(b"".join(cols["low"])) * np.uint64(buckets) + np.repeat(bucket, n)
         level = np.frombuffer(b"".join(cols["level"]), np.uint8)
         uniq, first, of = np.unique(dig, return_index=True, return_inverse=True)
         who = np.repeat(of, n)
@@ -291,10 +329,10 @@ def stars(sets: DataFrame, buckets: int) -> DataFrame:
                 sig, count = prefixes(h, bounds, size, np.asarray(b.column("rare")))
                 yield np.asarray(b.column("digest")).view(np.uint64), size, count, sig
 
-        yield from _packed(parts(), buckets)
+        yield from _packed(parts(), buckets, False)
 
     def reduce(it):
-        p = _postings(it)
+        p = _postings(it, False)
         if p is None:
             return
         uniq, size_of, sig, member, _ = p
@@ -397,20 +435,27 @@ def sift(size: np.ndarray, own: np.ndarray, maps: list[np.ndarray], first: np.nd
     return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
 
 
+def membership(edges: DataFrame, rep: DataFrame) -> DataFrame:
+    """(leader, member, copies, lower): the members of each star, with their numbers of documents and the lesser leaders of their other stars."""
+    members = edges.select("leader", "member").union(edges.select("leader", F.col("leader").alias("member"))).distinct()
+    other = members.groupBy("member").agg(F.collect_set("leader").alias("stars")).where(F.size("stars") > 1)
+    copies = rep.where("n > 1").select(F.col("digest").alias("member"), F.col("n").alias("copies"))
+    return members.join(other, "member", "left").join(copies, "member", "left").select("leader", "member", F.coalesce("copies", F.lit(1)).alias("copies"), F.filter("stars", lambda x: x < F.col("leader")).alias("lower"))
+
+
 def _shipped(sets: DataFrame, members: DataFrame, buckets: int, as_bits: bool) -> DataFrame:
-    """(leader, i, j, own, digest, size, shared, body): the sets of each star's members, as bitmaps or in full, in the star's tasks."""
-    members = members.distinct()
+    """(leader, i, j, own, digest, copies, lower, size, shared, body): the sets of each star's members, as bitmaps or in full, in the star's tasks."""
     big = members.groupBy("leader").agg(F.count("*").alias("m")).where(F.col("m") > STAR)
     g = F.expr(f"(coalesce(m, 1) + {STAR - 1}) div {STAR}")
     routed = members.join(big, "leader", "left").withColumn("g", g).withColumn("own", F.pmod(F.hash("member"), F.col("g")))
     routed = routed.withColumn("other", F.explode(F.expr("sequence(0L, g - 1)")))
-    routed = routed.select("leader", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", F.col("member").alias("digest"))
+    routed = routed.select("leader", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", F.col("member").alias("digest"), "copies", "lower")
 
     def body(b: pa.RecordBatch):
         h, bounds = _grams_of(b.column("grams"))
         size = np.asarray(b.column("size"))
         own = [h[a:z] for a, z in zip(bounds, bounds[1:])]
-        x = [bitmap(v, int(n)).tobytes() if as_bits else np.sort(mix(v).astype(np.uint32)).tobytes() for v, n in zip(own, size)]
+        x = [bitmap(v, int(n)).tobytes() if as_bits else v.tobytes() for v, n in zip(own, size)]
         yield pa.record_batch({"digest": b.column("digest"), "size": i64(size), "shared": i64(np.diff(bounds)), "body": pa.array(x, pa.binary())})
 
     bodies = arrow_map(sets.select("digest", "size", "grams").join(members.select(F.col("member").alias("digest")).distinct(), "digest", "left_semi"), body, "digest long, size long, shared long, body binary")
@@ -418,13 +463,15 @@ def _shipped(sets: DataFrame, members: DataFrame, buckets: int, as_bits: bool) -
 
 
 def _stars_of(it):
-    """(leader, digests, sizes, numbers of shared grams, bodies, in the first part, in the second part) of each star of a task."""
-    cols = {k: [] for k in ("leader", "i", "j", "own", "digest", "size", "shared")}
+    """(digests, numbers of documents, sizes, numbers of shared grams, bodies, in the first part, in the second part, pairs that are this star's) of each star of a task."""
+    cols = {k: [] for k in ("leader", "i", "j", "own", "digest", "copies", "size", "shared")}
     body: list = []
+    lower: list = []
     for b in it:
         for k in cols:
             cols[k].append(np.asarray(b.column(k)))
         body += b.column("body").to_pylist()
+        lower += b.column("lower").to_pylist()
     if not body:
         return
     c = {k: np.concatenate(v) for k, v in cols.items()}
@@ -434,7 +481,31 @@ def _stars_of(it):
     for a, z in zip(edge, np.append(edge[1:], len(order))):
         if z - a > 1:
             own = c["own"][a:z]
-            yield c["leader"][a], c["digest"][a:z].view(np.uint64), c["size"][a:z], c["shared"][a:z], [body[k] for k in order[a:z]], own == c["i"][a], own == c["j"][a]
+            rows = order[a:z]
+            yield c["leader"][a], c["digest"][a:z], c["copies"][a:z], c["size"][a:z], c["shared"][a:z], [body[k] for k in rows], own == c["i"][a], own == c["j"][a], _claims([lower[k] for k in rows])
+
+
+def _claims(lower: list):
+    """A function of pairs (i, j) that tells which of them no star of a lesser leader has, too. lower: lesser leaders of each member."""
+    who = np.repeat(np.arange(len(lower)), [len(x) if x else 0 for x in lower])
+    of = np.array([y for x in lower if x for y in x], np.int64)
+    _, of, n = np.unique(of, return_inverse=True, return_counts=True)
+    who, of = who[n[of] > 1], of[n[of] > 1]  # a leader of one member is no pair's
+    _, of = np.unique(of, return_inverse=True)
+
+    def mine(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out = np.ones(len(i), bool)
+        for a in range(0, int(of.max()) + 1 if len(of) else 0, 4096):
+            some = (of >= a) & (of < a + 4096)
+            has = np.zeros((len(lower), min(4096, int(of.max()) + 1 - a)), bool)
+            has[who[some], of[some] - a] = True
+            bits = np.packbits(has, axis=1)
+            for k in range(0, len(i), 1 << 16):
+                z = slice(k, k + (1 << 16))
+                out[z] &= ~(bits[i[z]] & bits[j[z]]).any(1)
+        return out
+
+    return mine
 
 
 def _rows(names: tuple[str, ...], parts):
@@ -450,57 +521,106 @@ def _rows(names: tuple[str, ...], parts):
         yield pa.record_batch({k: i64(np.concatenate(v)) for k, v in zip(names, zip(*held))})
 
 
-def verified(sets: DataFrame, edges: DataFrame, buckets: int) -> DataFrame:
-    """(x, y, overlap, sx, sy): digests, x < y as signed numbers, of the pairs at THETA or more."""
+def likely(sets: DataFrame, members: DataFrame, buckets: int) -> DataFrame:
+    """The rows of members that have a partner in their star which can reach THETA by size and bitmaps."""
 
-    def likely(it):
+    def run(it):
         def parts():
-            for lead, dig, size, shared, body, first, second in _stars_of(it):
+            for lead, dig, _, size, shared, body, first, second, mine in _stars_of(it):
                 i, j = sift(size, size - shared, [np.frombuffer(x, np.uint64) for x in body], first, second)
-                dig = dig.view(np.int64)
-                yield np.minimum(dig[i], dig[j]), np.maximum(dig[i], dig[j]), np.full(len(i), lead)
+                good = mine(i, j)
+                some = np.unique(np.concatenate([i[good], j[good]]))
+                yield np.full(len(some), lead), dig[some]
+
+        yield from _rows(("leader", "member"), parts())
+
+    some = _shipped(sets, members, buckets, True).mapInArrow(tidied(run), "leader long, member long").distinct()
+    return members.join(some, ["leader", "member"], "left_semi")
 
-        yield from _rows(("x", "y", "leader"), parts())
 
-    def verify(it):
+def _matching(it):
+    """(digests, numbers of documents, sizes, i, j, overlaps) of the pairs at THETA or more of each star of a task, each pair once over all stars."""
+    for _, dig, copies, size, _, body, first, second, mine in _stars_of(it):
+        i, j, o = _compare([np.frombuffer(x, np.uint64) for x in body], size, first, second)
+        good = mine(i, j)
+        yield dig, copies, size, i[good], j[good], o[good]
+
+
+def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least number of each one's connected group."""
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, i, low[j])
+        np.minimum.at(new, j, low[i])
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new
+
+
+def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, int]:
+    """(sets by document, representatives, shared grams by set, members of stars that may match, buckets)."""
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sets = cut(survey(docs).distinct())
+    rep = sets.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
+    frequent = int(level_of(max(2.0, FREQUENT * sets.count())))
+    # a set is named once in each bucket, so for all its grams there are fewer, larger ones
+    shared = cut(repeated(docs, max(LEAST_BUCKETS, buckets // 2), frequent))
+    members = cut(membership(stars(shared, buckets), rep))
+    return sets, rep, shared, cut(likely(shared, members, buckets)), buckets
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id, n_links) of each document, and its row_key, the hash of its text.
+
+    Two documents are linked if their sets are equal or have a Jaccard of THETA or more. n_links counts all the documents
+    that one is linked to; class_id is the least doc_id that chains of links lead to. So no link is lost, and neither
+    copies nor near copies are expanded into pairs: there is a row a document.
+
+    Null ids are left out; texts without words (null, empty or of marks only) have no links and are classes of their own.
+    Rows that repeat a doc_id and a text are one document; with different texts they are documents each. Texts are read as
+    a whole. Extra columns are not read. An empty table gives an empty result.
+    """
+    sets, rep, shared, members, buckets = _prepared(docs)
+
+    def run(it):
         def parts():
-            for _, dig, size, _, body, first, second in _stars_of(it):
-                i, j, o = _compare([np.frombuffer(x, np.uint32) for x in body], size, first, second)
-                dig = dig.view(np.int64)
-                low = dig[i] < dig[j]
-                i, j = np.where(low, i, j), np.where(low, j, i)
-                yield dig[i], dig[j], o, size[i], size[j]
+            for dig, copies, _, i, j, _ in _matching(it):
+                n = np.bincount(i, copies[j], len(dig)) + np.bincount(j, copies[i], len(dig))
+                some = np.flatnonzero(n)
+                yield dig[some], dig[_roots(len(dig), i, j)][some], n[some]
 
-        yield from _rows(("x", "y", "overlap", "sx", "sy"), parts())
+        yield from _rows(("digest", "root", "links"), parts())
 
-    members = edges.select("leader", "member").union(edges.select("leader", F.col("leader").alias("member")))
-    pairs = _shipped(sets, members, buckets, True).mapInArrow(tidied(likely), "x long, y long, leader long")
-    # a pair that several stars propose is left to one of them, so that near copies go there together and once
-    pairs = cut(pairs.groupBy("x", "y").agg(F.min("leader").alias("leader")))
-    members = pairs.select("leader", F.col("x").alias("member")).union(pairs.select("leader", F.col("y").alias("member")))
-    full = _shipped(sets, members, buckets, False)
-    return full.mapInArrow(tidied(verify), "x long, y long, overlap long, sx long, sy long").dropDuplicates(["x", "y"])
+    found = cut(_shipped(shared, members, buckets, False).mapInArrow(tidied(run), "digest long, root long, links long"))
+    links = found.groupBy("digest").agg(F.sum("links").alias("links"))
+    root = rep.select(F.col("digest").alias("root"), F.col("rep").alias("doc_b"))
+    edges = found.where("digest <> root").select("digest", "root").distinct().join(rep, "digest").join(root, "root")
+    group = components(edges.select(F.col("rep").alias("doc_a"), "doc_b").where("doc_a <> doc_b")).select(F.col("doc_id").alias("rep"), F.col("root").alias("least"))
+    known = rep.join(links, "digest", "left").join(group, "rep", "left").select("digest", F.coalesce("least", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
+    return sets.join(known, "digest", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "row_key")
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """(doc_a, doc_b, jaccard), doc_a < doc_b: all pairs of documents at THETA or more, in a compact form.
+    """(doc_a, doc_b, jaccard), doc_a < doc_b: the links of classes() as pairs of representatives, with their Jaccard.
 
     Documents with equal sets are listed once each, as a pair of Jaccard 1 with their least doc_id, which stands for all of
-    them in the pairs of unequal sets.  So two documents match if and only if they have the same representative, or their
-    representatives are listed as a pair: nothing is left out, and thousands of copies do not become millions of rows.
-
-    Null ids are left out, as are texts without words (null, empty or of marks only). Rows that repeat a doc_id count once
-    for each distinct set; a document is no match of itself. Texts are read as a whole. Extra columns are not read. An
-    empty table, or one without matches, gives an empty result.
+    them in the pairs of unequal sets. Groups of near copies have as many rows as pairs: for small corpora, and for what
+    is known to have few of them. Cases are as in classes(); a document is no match of itself.
     """
-    spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sets = cut(survey(docs))
-    frequent = int(level_of(max(2.0, FREQUENT * sets.count())))
-    # a set is named once in each bucket, so for all its grams there are fewer, larger ones
-    shared = cut(repeated(docs, max(1, buckets // 2), frequent))
-    pairs = verified(shared, cut(stars(shared, buckets)), buckets)
-    rep = sets.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
+    sets, rep, shared, members, buckets = _prepared(docs)
+
+    def run(it):
+        def parts():
+            for dig, _, size, i, j, o in _matching(it):
+                low = dig[i] < dig[j]
+                i, j = np.where(low, i, j), np.where(low, j, i)
+                yield dig[i], dig[j], o, size[i], size[j]
+
+        yield from _rows(("x", "y", "overlap", "sx", "sy"), parts())
+
+    pairs = _shipped(shared, members, buckets, False).mapInArrow(tidied(run), "x long, y long, overlap long, sx long, sy long")
     copies = sets.join(rep.where("n > 1"), "digest").where("doc_id > rep").select(F.col("rep").alias("doc_a"), F.col("doc_id").alias("doc_b"), F.lit(1.0).alias("jaccard"))
     a, b = rep.select(F.col("digest").alias("x"), F.col("rep").alias("rx")), rep.select(F.col("digest").alias("y"), F.col("rep").alias("ry"))
     named = pairs.join(a, "x").join(b, "y").where("rx <> ry")
@@ -510,7 +630,8 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join(table(spark, sf_dir, "documents"))
+    """A row a document, with its class and number of links."""
+    return classes(table(spark, sf_dir, "documents")).drop("row_key")
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -533,24 +654,30 @@ def components(pairs: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each connected group of near copies the document of the least doc_id stays, with all its columns.
+    """Pipeline stage: of each class of near copies the document of the least doc_id stays, with all its columns.
 
-    Of rows that repeat a doc_id all stay or go alike; rows without id stay.
+    Repeated rows stay or go alike; rows without id or without words stay.
     """
-    gone = cut(components(join(docs)).select("doc_id"))
-    return docs.join(small(gone, gone.count(), 16), "doc_id", "left_anti").select(*docs.columns)
+    gone = cut(classes(docs).where("class_id <> doc_id").select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")).distinct())
+    kept = docs.withColumns({(name := "_row" + "_" * max(map(len, docs.columns))): F.xxhash64(F.coalesce("text", F.lit("")))})
+    at = small(gone.select(F.col("_id").alias(name + "i"), F.col("_key").alias(name + "k")), gone.count(), 24)
+    return kept.join(at, (F.col("doc_id") == F.col(name + "i")) & (F.col(name) == F.col(name + "k")), "left_anti").select(*docs.columns)
 
 
 SQL = f"""
-WITH w AS (SELECT doc_id, list_filter(string_split(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g'), ' '), lambda x: x <> '') AS ws
-           FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g'), ' '), lambda x: x <> '') AS ws
+           FROM documents WHERE doc_id IS NOT NULL),
 g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= {N} THEN list_transform(range(1, len(ws) - {N - 2}), lambda i: array_to_string(ws[i:i + {N - 1}], ' '))
                                           WHEN len(ws) > 0 THEN ['#' || array_to_string(ws, ' ')] ELSE [] END) AS gram FROM w),
 s AS (SELECT doc_id, count(*) AS n, md5(string_agg(gram, '|' ORDER BY gram)) AS digest FROM g GROUP BY doc_id),
-r AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY digest) AS rep FROM s),
+r AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY digest) AS rep, count(*) OVER (PARTITION BY digest) AS copies FROM s),
 u AS (SELECT g.* FROM g JOIN r ON g.doc_id = r.doc_id AND r.rep = r.doc_id),
-c AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS o FROM u a JOIN u b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL)
-SELECT doc_a, doc_b, round(o / (x.n + y.n - o)::DOUBLE, 6) AS jaccard FROM c JOIN s x ON x.doc_id = doc_a JOIN s y ON y.doc_id = doc_b
-WHERE {THETA[1]} * o >= {THETA[0]} * (x.n + y.n - o)
-UNION ALL SELECT rep, doc_id, 1.0 FROM r WHERE doc_id > rep
+c AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS o FROM u a JOIN u b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+p AS (SELECT doc_a, doc_b FROM c JOIN s x ON x.doc_id = doc_a JOIN s y ON y.doc_id = doc_b WHERE {THETA[1]} * o >= {THETA[0]} * (x.n + y.n - o)),
+e AS (SELECT doc_a AS a, doc_b AS b FROM p UNION ALL SELECT doc_b, doc_a FROM p),
+reach AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+links AS (SELECT a, sum(copies) AS n FROM e JOIN r ON r.doc_id = e.b GROUP BY a),
+class AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(least(class.least, r.rep), r.rep, w.doc_id)::BIGINT AS class_id, coalesce(coalesce(links.n, 0) + r.copies - 1, 0)::BIGINT AS n_links
+FROM w LEFT JOIN r ON r.doc_id = w.doc_id LEFT JOIN links ON links.a = r.rep LEFT JOIN class ON class.a = r.rep
 """
