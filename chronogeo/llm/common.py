@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,6 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import cut, shared_dir
+
+__all__ = ["arrow_map", "cut", "i64", "shared_dir", "signed", "small", "table", "tidied", "tidy"]
+
 #: rows-times-width bound, in bytes, under which a side of a join may be broadcast
 BROADCAST_BYTES = 48 << 20
 #: id that stands for a null doc_id while documents are ranked: nulls rank last
@@ -21,20 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; only where it is unset (local tests) a folder of this machine is set."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(at or tempfile.mkdtemp(prefix="chronogeo-"))
-    return at or spark.sparkContext.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The DataFrame with its lineage cut by a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def small(df: DataFrame, rows: int, width: int) -> DataFrame:
     """df, marked for broadcast if rows * width bytes stay below BROADCAST_BYTES; a plain shuffle join otherwise."""
     return F.broadcast(df) if rows * width <= BROADCAST_BYTES else df
