@@ -239,14 +239,16 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(table(spark, sf_dir, "documents"))
 
 
+#: windows of LENGTH words are compared by 64-bit hashes of hashes of 8 words, taken row by row: no text is copied for a window
 _WORD = "[A-Za-z0-9\\x{80}-\\x{10FFFF}]+"
 SQL = f"""
 WITH t AS (SELECT doc_id, text, regexp_extract_all(text, '{_WORD}') AS ws, string_split_regex(text, '{_WORD}') AS gaps FROM documents WHERE text IS NOT NULL),
 w AS (SELECT doc_id, unnest(ws) AS word, unnest(gaps[1:len(ws)]) AS gap, unnest(range(len(ws))) AS i FROM t WHERE len(ws) >= {LENGTH}),
 p AS (SELECT doc_id, i, (sum(length(gap) + length(word)) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING))::BIGINT AS stop, length(word) AS n FROM w),
-g AS (SELECT doc_id, unnest(range(len(ws) - {LENGTH - 1})) AS s,
-             unnest(list_transform(range(1, len(ws) - {LENGTH - 2}), lambda i: md5(translate(array_to_string(ws[i:i + {LENGTH - 1}], ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')))) AS h
-      FROM t WHERE len(ws) >= {LENGTH}),
+v AS (SELECT doc_id, i, hash(translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h FROM w),
+e8 AS (SELECT doc_id, i, hash(h, {", ".join(f"lead(h, {k}) OVER o" for k in range(1, 8))}) AS h FROM v WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT doc_id, i AS s, hash(h, {", ".join(f"lead(h, {k}) OVER o" for k in (*range(8, LENGTH - 8, 8), LENGTH - 8))}) AS h FROM e8
+      WINDOW o AS (PARTITION BY doc_id ORDER BY i) QUALIFY lead(i, {LENGTH - 1}) OVER o IS NOT NULL),
 r AS (SELECT doc_id, s, row_number() OVER o AS k, first_value(doc_id) OVER o AS src FROM g WINDOW o AS (PARTITION BY h ORDER BY doc_id, s)),
 m AS (SELECT *, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= {LENGTH} THEN 0 ELSE 1 END AS new FROM r WHERE k > 1),
 i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s ROWS UNBOUNDED PRECEDING) AS island FROM m),
