@@ -25,6 +25,8 @@ MIN_TILE = 4
 THRESHOLD = 0.5
 #: bytes of the benchmark's seed index up to which it is sent to the tasks
 INDEX_BYTES = 64 << 20
+#: bytes of the index a byte of text: 16 a seed, and a seed a word, of which texts of the usual kind have one in four bytes or fewer
+SEED_BYTES = 4
 
 
 class Index:
@@ -118,10 +120,11 @@ def index_of(bench: DataFrame) -> Index | None:
     """The index, or None if it is too large for the tasks (its size is checked before anything is collected)."""
     b = bench.select("item_id", "text").where("item_id is not null and text is not null")
     size = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size * 4 > INDEX_BYTES:
+    if size * SEED_BYTES > INDEX_BYTES:
         return None
     rows = b.orderBy("item_id", "text").toPandas()
-    return Index(rows["item_id"].tolist(), pa.array(rows["text"], pa.string()))
+    index = Index(rows["item_id"].tolist(), pa.array(rows["text"], pa.string()))
+    return index if index.nbytes() <= INDEX_BYTES else None
 
 
 def matches(docs: DataFrame, bench: DataFrame) -> DataFrame:
@@ -153,7 +156,13 @@ def _batch(found, doc_ids, item_ids) -> pa.RecordBatch:
     return pa.record_batch({"doc_id": doc_ids, "item_id": i64([item_ids[x[1]] for x in found]), "coverage": pa.array([round(x[2], 6) for x in found], pa.float64()), "n_tiles": i64([x[3] for x in found]), "matched_words": i64([x[4] for x in found])})
 
 
+#: shares that each seed's documents are split into, so that one of a third of all documents is no single task's
+SALT = 16
+
+
 def _seeds(df: DataFrame, name: str) -> DataFrame:
+    """(name, h, n, words): the distinct seeds of each text, how often it has them, and its number of words."""
+
     def run(b: pa.RecordBatch):
         data, off = buffer_of(b.column("text"))
         ids = np.asarray(b.column(name))
@@ -165,9 +174,10 @@ def _seeds(df: DataFrame, name: str) -> DataFrame:
                 order = np.lexsort((h, doc))
                 h, doc = h[order], doc[order]
                 new = np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])
-                yield pa.record_batch({name: i64(ids[first + doc[new]]), "h": signed(np.ascontiguousarray(h[new]))})
+                at = np.flatnonzero(new)
+                yield pa.record_batch({name: i64(ids[first + doc[at]]), "h": signed(np.ascontiguousarray(h[at])), "n": i64(np.diff(np.append(at, len(h)))), "words": i64(np.diff(w.bounds)[doc[at]])})
 
-    return arrow_map(df, run, f"{name} long, h long")
+    return arrow_map(df, run, f"{name} long, h long, n long, words long")
 
 
 def _row_key():
@@ -179,8 +189,10 @@ def _joined(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """matches(), and each row's key d, for a benchmark of any size: a shuffle join on the seeds, then tiling pair by pair."""
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _row_key().alias("d"))
     t = bench.select("item_id", "text").where("item_id is not null and text is not null").withColumn("b", F.xxhash64("item_id", "text"))
-    both = _seeds(d.select("d", "text").dropDuplicates(["d"]), "d").join(_seeds(t.select("b", "text").dropDuplicates(["b"]), "b"), "h")
-    pairs = both.select("d", "b").distinct()
+    mine = _seeds(d.select("d", "text").dropDuplicates(["d"]), "d").select("d", "h", F.pmod(F.hash("d"), F.lit(SALT)).alias("salt"))
+    theirs = _seeds(t.select("b", "text").dropDuplicates(["b"]), "b").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    # a seed covers MIN_TILE words of the item wherever it stands there: pairs that can't reach THRESHOLD end before texts are sent
+    pairs = mine.join(theirs, ["h", "salt"]).groupBy("d", "b").agg(F.sum("n").alias("n"), F.max("words").alias("words")).where(F.col("n") * MIN_TILE >= F.col("words") * THRESHOLD).select("d", "b")
     full = pairs.join(d, "d").join(t.withColumnRenamed("text", "item_text"), "b")
 
     def run(b: pa.RecordBatch):
