@@ -1,10 +1,13 @@
 """Full-text search: a small query language over two text columns.
 
 Terms are joined by AND unless OR or NOT stands between them; "a phrase" matches consecutive words, pre* matches beginnings,
-column: restricts a term or a phrase to a column, and parentheses group.  AND binds closer than OR, NOT closest.
+^term the first words of a column, column: or {two columns}: restrict a term or a phrase to columns (-column: to the others),
+NEAR(one two, n) matches terms with at most n words between the first and the last, and parentheses group.  AND binds closer
+than OR, NOT closest.
 
-A query becomes one Catalyst predicate over padded, normalised text, so a table is searched in one codegen scan; with an
-index (see index_of), terms are looked up by an equi-join, and only rows that have all of them are read.
+Without an index a query becomes one Catalyst predicate over padded, normalised text, and the table is scanned.  With one (see
+index_of and write_index) any query is answered by found(): the index, sorted by token, is read for the query's tokens alone,
+phrases are put together from positions, and only rows that match are read from the table.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fold, fold_of
 
-_LEX = re.compile(r'\s*(?:(?P<quote>"[^"]*")|(?P<mark>[():*])|(?P<word>[^\s():*"]+))')
+_LEX = re.compile(r'\s*(?:(?P<quote>"[^"]*")|(?P<mark>[():*^{},])|(?P<word>[^\s():*"^{},]+))')
 
 
 class Syntax(ValueError):
@@ -32,11 +35,20 @@ def lex(query: str) -> list[tuple[str, str]]:
             raise Syntax(f"unreadable at {at}: {query[at:at + 20]!r}")
         out.append((m.lastgroup, m[m.lastgroup]))
         at = m.end()
-    return out
+    # a comma counts inside NEAR( ) alone; elsewhere it parts words as a space does
+    kept, inside = [], False
+    for k, t in enumerate(out):
+        inside = t != ("mark", ")") and (inside or (t == ("mark", "(") and k > 0 and out[k - 1] == ("word", "NEAR")))
+        if inside or t != ("mark", ","):
+            kept.append(t)
+    return kept
 
 
 def parse(query: str):
-    """('and'|'or'|'not', left, right) or ('phrase', words, is_prefix, column)."""
+    """('and'|'or'|'not', left, right), ('phrase', words, is_prefix, columns, is_first) or ('near', phrases, words between).
+
+    columns: None, or (names, whether all others are meant).
+    """
     toks = lex(query)
     if not toks:
         raise Syntax("empty query")
@@ -75,23 +87,63 @@ def parse(query: str):
                 raise Syntax("a parenthesis is not closed")
             toks.pop(0)
             return inner
+        only = columns_of()
+        return near(only) if peek() == ("word", "NEAR") and peek(1) == ("mark", "(") else phrase(only)
+
+    def columns_of():
+        """The columns that a term is restricted to, if it is."""
+        kind, text = peek()
+        others = (kind, text) == ("word", "-")
+        k = int(others)
+        if peek(k) == ("mark", "{"):
+            names, k = [], k + 1
+            while peek(k)[0] == "word":
+                names.append(peek(k)[1].lower())
+                k += 1
+            if peek(k) != ("mark", "}") or peek(k + 1) != ("mark", ":") or not names:
+                raise Syntax("columns are not closed")
+            k += 2
+        elif kind == "word" and peek(1) == ("mark", ":"):
+            others = text.startswith("-")
+            names, k = [text.lstrip("-").lower()], 2
+        else:
+            return None
+        del toks[:k]
+        if peek()[0] not in ("word", "quote") and peek() != ("mark", "^"):
+            raise Syntax("no term after the column")
+        return tuple(names), others
+
+    def phrase(only):
+        initial = peek() == ("mark", "^")
+        if initial:
+            toks.pop(0)
+        kind, text = peek()
         if kind not in ("word", "quote") or kind == "word" and text in ("AND", "OR", "NOT"):
             raise Syntax(f"no term at {text or 'the end'!r}")
         toks.pop(0)
-        column = None
-        if kind == "word" and peek() == ("mark", ":"):
-            column, _ = text.lower(), toks.pop(0)
-            kind, text = peek()
-            if kind not in ("word", "quote"):
-                raise Syntax("no term after the column")
-            toks.pop(0)
         terms = re.findall(r"[^\W_]+", fold_of(text))
         if not terms:
             raise Syntax(f"no word in {text!r}")
         prefix = peek() == ("mark", "*")
         if prefix:
             toks.pop(0)
-        return ("phrase", tuple(terms), prefix, column)
+        return ("phrase", tuple(terms), prefix, only, initial)
+
+    def near(only):
+        del toks[:2]
+        inner, most = [], 10
+        while peek() not in (("mark", ")"), ("mark", ","), ("end", "")):
+            inner.append(phrase(only))
+        if peek() == ("mark", ","):
+            kind, text = peek(1)
+            if kind != "word" or not text.isascii() or not text.isdigit():
+                raise Syntax("NEAR wants a number")
+            most = int(text)
+            del toks[:2]
+        if peek() != ("mark", ")") or not inner:
+            raise Syntax("NEAR is not closed, or is empty")
+        toks.pop(0)
+        return ("near", tuple(inner), most)
 
     tree = either()
     if toks:
@@ -106,18 +158,70 @@ def normalised(c: Column) -> Column:
     return F.concat(F.lit(" "), F.regexp_replace(low, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
 
 
+def _within(only, names) -> list[str]:
+    """The columns that a phrase looks at."""
+    if only is None:
+        return list(names)
+    chosen, others = only
+    for c in chosen:
+        if c not in names:
+            raise Syntax(f"no such column: {c}")
+    return [n for n in names if (n in chosen) != others]
+
+
+def _places(text: Column, terms: tuple[str, ...], prefix: bool, initial: bool) -> Column:
+    """The positions of words at which a phrase begins in padded text."""
+    w = F.split(F.trim(text), " ")
+    at = F.sequence(F.lit(0), F.size(w) - 1)
+
+    def here(k: Column) -> Column:
+        out = (k == 0) if initial else F.lit(True)
+        for i, t in enumerate(terms):
+            word = F.coalesce(F.get(w, k + i), F.lit(""))
+            out = out & (word.startswith(t) if prefix and i == len(terms) - 1 else word == t)
+        return out
+
+    return F.filter(at, here)
+
+
+def _clump(places: list[Column], reaches: list[int], close) -> Column:
+    """Some phrase's place is within its reach of a place of every other one; close(other place, place, reach)."""
+
+    def first(i: int):
+        def whole(k: Column) -> Column:
+            ok = F.lit(True)
+            for j, other in enumerate(places):
+                if j != i:
+                    ok = ok & F.exists(other, lambda x: close(x, k, reaches[i]))
+            return ok
+
+        return whole
+
+    out = F.lit(False)
+    for i, p in enumerate(places):
+        out = out | F.exists(p, first(i))
+    return out
+
+
 def predicate(tree, columns: dict[str, Column]) -> Column:
     """columns: normalised text by name."""
     kind = tree[0]
     if kind == "phrase":
-        _, terms, prefix, only = tree
-        if only is not None and only not in columns:
-            raise Syntax(f"no such column: {only}")
+        _, terms, prefix, only, initial = tree
         needle = " " + " ".join(terms) + ("" if prefix else " ")
-        hits = [c.contains(needle) for n, c in columns.items() if only in (None, n)]
-        out = hits[0]
-        for h in hits[1:]:
-            out = out | h
+        out = F.lit(False)
+        for n in _within(only, columns):
+            out = out | (columns[n].startswith(needle) if initial else columns[n].contains(needle))
+        return out
+    if kind == "near":
+        _, phrases, most = tree
+        out = F.lit(False)
+        for n in _within(phrases[0][3], columns):
+            have = F.lit(True)
+            for p in phrases:  # a cheap check before words are counted
+                have = have & predicate((*p[:3], ((n,), False), p[4]), columns)
+            places = [_places(columns[n], p[1], p[2], p[4]) for p in phrases]
+            out = out | (have & _clump(places, [len(p[1]) + most for p in phrases], lambda x, k, reach: (x >= k) & (x <= k + reach)))
         return out
     a, b = predicate(tree[1], columns), predicate(tree[2], columns)
     return a & b if kind == "and" else a | b if kind == "or" else a & ~b
@@ -145,9 +249,59 @@ def index_of(df: DataFrame, key: str, columns: tuple[str, ...]) -> DataFrame:
     return out.where("token <> ''").select("token", "id", "field", "pos")
 
 
+def write_index(index: DataFrame, path: str, files: int = 64) -> None:
+    """The index as Parquet, in ranges of tokens and sorted, so that a lookup reads the row groups of its tokens."""
+    index.repartitionByRange(files, "token").sortWithinPartitions("token").write.mode("overwrite").parquet(path)
+
+
+def _leaves(tree) -> list:
+    if tree[0] == "phrase":
+        return [tree]
+    return list(tree[1]) if tree[0] == "near" else _leaves(tree[1]) + _leaves(tree[2])
+
+
+def found(index: DataFrame, query: str, columns: tuple[str, ...] = ("title", "blurb"), key: str = "id") -> DataFrame:
+    """The ids that match, by the index alone: one read of the query's tokens, and two aggregations by id."""
+    tree = parse(query)
+    leaves = _leaves(tree)
+    # every (phrase, place in it) that a token can be at
+    spots = []
+    for i, (_, terms, prefix, only, initial) in enumerate(leaves):
+        fields = _within(only, columns)
+        for k, t in enumerate(terms):
+            last = prefix and k == len(terms) - 1
+            hit = (F.col("token").startswith(t) if last else F.col("token") == t) & F.col("field").isin(*fields)
+            hit = hit & (F.col("pos") == k) if initial else hit
+            spots.append((hit, F.struct(F.lit(i).alias("leaf"), (F.col("pos") - k).alias("start"), F.lit(k).alias("k"))))
+    any_hit = spots[0][0]
+    for hit, _ in spots[1:]:
+        any_hit = any_hit | hit
+    rows = index.where(any_hit).select(key, "field", F.explode(F.filter(F.array(*[F.when(hit, spot) for hit, spot in spots]), lambda x: x.isNotNull())).alias("s"))
+    size = F.get(F.array(*[F.lit(len(x[1])) for x in leaves]), F.col("leaf"))
+    whole = rows.select(key, "field", "s.*").groupBy(key, "field", "leaf", "start").agg(F.count_distinct("k").alias("n")).where(F.col("n") == size)
+    place = F.struct("field", "start")
+    each = whole.groupBy(key).agg(*[F.collect_list(F.when(F.col("leaf") == i, place)).alias(f"at{i}") for i in range(len(leaves))])
+    number = iter(range(len(leaves)))
+
+    def holds(t) -> Column:
+        if t[0] == "phrase":
+            return F.size(F.col(f"at{next(number)}")) > 0
+        if t[0] == "near":
+            mine = [F.col(f"at{next(number)}") for _ in t[1]]
+            return _clump(mine, [len(p[1]) + t[2] for p in t[1]], lambda y, x, reach: (y["field"] == x["field"]) & (y["start"] >= x["start"]) & (y["start"] <= x["start"] + reach))
+        a, b = holds(t[1]), holds(t[2])
+        return a & b if t[0] == "and" else a | b if t[0] == "or" else a & ~b
+
+    return each.where(holds(tree)).select(key)
+
+
+def search_by(index: DataFrame, events: DataFrame, query: str, limit: int = 25) -> DataFrame:
+    """search(), with the ids from the index."""
+    rows = events.join(found(index, query), "id", "left_semi")
+    return rows.orderBy(F.desc_nulls_last("notability"), F.asc_nulls_first("date_start"), "id").limit(min(100, max(1, limit)))
+
+
 def by_index(index: DataFrame, terms: list[str], key: str = "id") -> DataFrame:
     """Ids that have all terms, by the index alone."""
     want = [fold_of(t) for t in dict.fromkeys(terms)]
     return index.where(F.col("token").isin(*want)).groupBy(key).agg(F.count_distinct("token").alias("n")).where(F.col("n") == len(set(want))).select(key)
-
-
