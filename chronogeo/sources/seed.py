@@ -36,10 +36,24 @@ def seeds(raw: DataFrame, version: str = "seed-v1") -> DataFrame:
 
 
 def without_ids(raw: DataFrame, ids: DataFrame) -> DataFrame:
-    """Raw rows whose id no verdict names; written back as JSON by the caller."""
+    """Raw rows whose id no verdict names; written back by json_files."""
     return seed_id(raw).join(ids.select("id").distinct(), "id", "left_anti").select(*raw.columns)
 
 
+def json_files(raw: DataFrame) -> DataFrame:
+    """(file, json): each curated file's rows as one JSON array, in the order of their ids. Curated files are small, as people edit them."""
+    cols = [c for c in raw.columns if c != "file"]
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols]), {"ignoreNullFields": "false"})
+    one = seed_id(raw).select("file", F.struct("id", row.alias("row")).alias("r"))
+    rows = F.transform(F.sort_array(F.collect_list("r")), lambda r: r["row"])
+    return one.groupBy("file").agg(F.concat(F.lit("[\n  "), F.array_join(rows, ",\n  "), F.lit("\n]\n")).alias("json"))
+
+
+def write_back(raw: DataFrame, folder: str) -> None:
+    """json_files() as folder/file=<name>/part-*.txt; the files that were read stay as they are until the caller swaps them."""
+    json_files(raw).repartition("file").write.mode("overwrite").partitionBy("file").option("lineSep", "\n").text(folder)
+
+
 def read_tsv(spark: SparkSession, path: str, required: tuple[str, ...] = ("seed_id",)) -> DataFrame:
     """Columns by header, cells trimmed, absent cells empty; a byte order mark and CRLF are dropped."""
     raw = spark.read.csv(path, sep="\t", header=True, quote="", encoding="UTF-8")

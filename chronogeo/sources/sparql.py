@@ -95,24 +95,36 @@ class SparqlReader(DataSourceReader):
         names = options.get("categories", "")
         self.chosen = [i for i, h in enumerate(HARVESTERS) if not names or h.category in names.split(",")]
         self.endpoint, self.agent = options["endpoint"], options.get("agent", "chronogeo")
+        self.delay, self.wait, self.strict = float(options.get("delay", 0.25)), float(options.get("wait", 3)), options.get("strict", "false").lower() == "true"
 
     def partitions(self) -> list[InputPartition]:
         return [_Query(y, i) for y in range(self.hi, self.lo - 1, -1) for i in self.chosen]
 
     def read(self, part: _Query) -> Iterator[tuple]:
         h = HARVESTERS[part.order]
-        yield (h.category, part.order, part.year, http_fetch(self.endpoint, self.agent)(query_of(h, part.year)))
+        time.sleep(self.delay)  # before each query, to spare the endpoint
+        try:
+            body, error = http_fetch(self.endpoint, self.agent, wait=self.wait)(query_of(h, part.year)), None
+        except OSError as e:  # after all tries; one year of one category is missing then, and the others go on
+            if self.strict:
+                raise
+            body, error = None, str(e)
+        yield (h.category, part.order, part.year, body, error)
 
 
 class SparqlSource(DataSource):
-    """spark.dataSource.register(SparqlSource); spark.read.format('sparql').options(endpoint=..., **{'from': 1900, 'to': 1950}).load()"""
+    """spark.dataSource.register(SparqlSource); spark.read.format('sparql').options(endpoint=..., **{'from': 1900, 'to': 1950}).load()
+
+    Further options: categories, agent, delay and wait (seconds before a query, and, times the try, before another one), and
+    strict: whether a query that fails ends the job; else its row has an error in place of a body.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "sparql"
 
     def schema(self) -> str:
-        return "category string, priority int, year int, body string"
+        return "category string, priority int, year int, body string, error string"
 
     def reader(self, schema) -> DataSourceReader:
         return SparqlReader(dict(self.options))

@@ -90,7 +90,8 @@ def events(rows: DataFrame, titles: DataFrame, things: DataFrame, version: str =
     """Events in the stored layout. things: qid, sitelinks, types, lat, lng, country; rows without a point are dropped."""
     at = things.select("qid", "sitelinks", "lat", "lng", "country")
     land = things.select(F.col("qid").alias("country"), F.col("lat").alias("c_lat"), F.col("lng").alias("c_lng"))
-    name = titles.groupBy("qid").agg(F.min("title").alias("title"))
+    # the first title of an entity in order of insertion, where the table tells it; else the least
+    name = titles.groupBy("qid").agg((F.min_by("title", "ord") if "ord" in titles.columns else F.min("title")).alias("title"))
     d = rows.join(place_of(rows, titles, things), ["page", "line"]).join(at, "qid").join(land, "country", "left").join(name, "qid")
     own = F.col("lat").isNotNull() & F.col("lng").isNotNull()
     d = d.withColumns({"lat": F.when(own, F.col("lat")).otherwise(F.col("c_lat")), "lng": F.when(own, F.col("lng")).otherwise(F.col("c_lng")), "t": dated(F.col("year"), F.col("date")), "title": F.substring("title", 1, 60)})
@@ -100,5 +101,3 @@ def events(rows: DataFrame, titles: DataFrame, things: DataFrame, version: str =
         F.least(F.lit(1.0), F.col("sitelinks") / F.lit(100.0)).alias("notability"), source_url(F.col("page"), F.lit("")).alias("source_url"),
         F.to_json(F.struct(F.col("page").alias("wikipedia"), F.col("qid").alias("place"))).alias("source_ids"), F.lit(version).alias("ingest_version"), "page", "line",
     )
-
-
