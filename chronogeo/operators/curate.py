@@ -116,3 +116,10 @@ def rule_samples(events: DataFrame, each: int = 4, most: int = 20) -> DataFrame:
     """Up to `each` rows a rule and `most` in all, in the order of their ids."""
     t = titled(events).where("rule is not null").withColumn("_n", F.row_number().over(Window.partitionBy("rule").orderBy("id")))
     return t.where(F.col("_n") <= each).select("id", "rule", F.col("title").alias("before"), F.col("display_title").alias("after")).orderBy("id").limit(most)
+
+
+def verdict_counts(drops: DataFrame, merges: DataFrame, key: str = "seed_id") -> DataFrame:
+    """verdict, pairs (rows of the list), rows (curated rows that it removes), and both lists' rows together."""
+    kinds = drops.select(F.lit("drop").alias("verdict"), key).union(merges.select(F.lit("merge"), key))
+    each = kinds.groupBy("verdict").agg(F.count("*").alias("pairs"), F.count_distinct(key).alias("rows"))
+    return each.union(kinds.agg(F.lit("all"), F.count("*"), F.count_distinct(key)))

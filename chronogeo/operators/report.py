@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import half_up
 from ..functions.scoring import is_person, is_seed
 from ..functions.classify import is_institution
+from ..model import ENGINE, EngineConfig
+from .store import build_id
 
 KINDS = ("settlement", "institution", "subnational", "country", "unclassified")
 
@@ -61,3 +63,29 @@ def unclassified_foundings(events: DataFrame, top: int = 20) -> DataFrame:
     """The most notable foundings of no kind."""
     rows = events.where("category = 'founding' AND founding_kind IS NULL").orderBy(F.desc_nulls_last("notability"), "id").limit(top)
     return rows.select("id", "notability", F.substring("title", 1, 40).alias("title"), F.substring(F.coalesce("blurb", F.lit("(none)")), 1, 70).alias("blurb"))
+
+
+def service_meta(events: DataFrame, meta: DataFrame, cfg: EngineConfig = EngineConfig(), limits: dict | None = None) -> DataFrame:
+    """One row, `json`: the engine, what the table records of its layers, the defaults and the limits of requests."""
+    layers = {"ingest": "dataset_version", "scoring": "scoring_version", "reach": "reach_version"}
+    prunes = ("last_prune", "last_series_prune", "last_dupe_prune")
+    known = meta.where("value is not null").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "value")))).alias("m"))
+    said = lambda k: F.nullif(F.try_element_at("m", F.lit(k)), F.lit(""))
+    total = events.agg(F.count("*").alias("total"))
+    row = known.crossJoin(total).crossJoin(build_id(meta))  # one row each
+    defaults = {k: getattr(cfg, k) for k in ("significance_floor", "max_per_segment", "max_segments", "person_quota")}
+    tables = {k: getattr(cfg, k) for k in ("scope_floor", "scope_quota", "category_weights", "founding_kind_weights")}
+    caps = {"max_body_bytes": 65536, "max_segments": 40, "search_limit": 100, "requests": 60, "window_seconds": 60, **(limits or {})}
+    body = F.struct(
+        F.lit(ENGINE).alias("engine"), said("dataset_version").alias("datasetVersion"), F.col("build_id").alias("datasetBuild"),
+        F.struct(*[said(k).alias(n) for n, k in layers.items()], F.filter(F.array(*map(said, prunes)), lambda x: x.isNotNull()).alias("prunes")).alias("datasetLayers"),
+        F.map_concat(F.create_map(F.lit("totalEvents"), F.col("total").cast("string")), "m").alias("dataset"),
+        F.struct(*[F.lit(v).alias(k) for k, v in defaults.items()], *[F.struct(*[F.lit(x).alias(n) for n, x in sorted(t.items())]).alias(k) for k, t in tables.items()]).alias("defaults"),
+        F.struct(*[F.lit(v).alias(k) for k, v in caps.items()]).alias("limits"),
+    )
+    return row.select(F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
+
+
+def health(events: DataFrame) -> DataFrame:
+    """ok and the number of events: whether there is a table to answer from."""
+    return events.agg((F.count("*") > 0).alias("ok"), F.count("*").alias("events"))

@@ -88,3 +88,9 @@ def build_id(meta: DataFrame) -> DataFrame:
     n = sum((F.col(k).isNotNull().cast("int") for k in keys[3:]), F.lit(0))
     prunes = F.when(n > 0, F.concat(F.lit("prune"), n.cast("string"))).otherwise("unpruned")
     return m.select(F.concat_ws("+", F.coalesce("dataset_version", F.lit("unknown-ingest")), F.coalesce("scoring_version", F.lit("unscored")), F.coalesce("reach_version", F.lit("no-reach")), prunes).alias("build_id"))
+
+
+def reset(df: DataFrame, column: str, cond: Column | None = None) -> DataFrame:
+    """A derived column set to null, for all rows or those that a condition holds for, before it is derived anew."""
+    gone = F.lit(True) if cond is None else F.coalesce(cond, F.lit(False))
+    return df.withColumn(column, F.when(~gone, F.col(column)))

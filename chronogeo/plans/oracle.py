@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ..functions import classify as C
 from ..sources.fixtures import EVENTS_SQL, REQUESTS_SQL
+from . import oracle_terms as C
 
 
 def rx(pattern: str, col: str) -> str:

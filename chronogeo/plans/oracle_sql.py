@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions import classify as K
+from . import oracle_terms as K
 from .oracle import CLASSED, DATE, DIST, INSTITUTION, KIND, LO, QUOTA, RANK, RAW, REACH, SCOPE, SCORED, SIGNED, drawn, kept, matched, round_to, rx
 
 _PARSED = f"{RAW}, pd AS (SELECT *, {LO} AS lo FROM raw)"
@@ -86,7 +86,8 @@ SELECT c_custkey, array_to_string(list_transform(range(CASE WHEN v >= 2176782336
     "slugs": f"WITH {RAW} SELECT id, substr(trim(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '-'), 1, 90) AS slug FROM raw",
     "wkt_points": f"WITH {RAW} SELECT id, round(lat, 2) AS lat, round(lng, 2) AS lng FROM raw",
     "wikidata_times": f"WITH {RAW} SELECT id, CASE WHEN date_precision = 'year' THEN substr(date_start, 1, 4) || '-01-01' ELSE date_start END AS date, date_precision AS kind FROM raw",
-    "truncate_ips": "SELECT c_custkey, (c_custkey * 3 % 256) || '.' || (c_custkey * 5 % 256) || '.' || (c_custkey * 7 % 256) || '.0' AS ip FROM customer",
+    "truncate_ips": """SELECT c_custkey, CASE c_custkey % 4 WHEN 1 THEN '2001:db8:' || (c_custkey % 10000) || '::/48' WHEN 3 THEN 'unknown'
+ ELSE (c_custkey * 3 % 256) || '.' || (c_custkey * 5 % 256) || '.' || (c_custkey * 7 % 256) || '.0' END AS ip FROM customer""",
     "stats_by_category": f"WITH {RAW} SELECT coalesce(category, '(null)') AS category, count(*) AS c FROM raw GROUP BY 1",
     "stats_by_precision": f"WITH {RAW} SELECT coalesce(date_precision, '(null)') AS date_precision, count(*) AS c FROM raw GROUP BY 1",
     "stats_by_scope": f"WITH {RAW} SELECT coalesce(scope, '(unscored)') AS scope, count(*) AS c FROM raw GROUP BY 1",
@@ -107,7 +108,7 @@ SELECT c_custkey, array_to_string(list_transform(range(CASE WHEN v >= 2176782336
     "merge_date": f"WITH {_VERDICTS} SELECT dump_id, seed_date, CASE WHEN e.id IS NULL THEN 'missing' WHEN date_start = seed_date THEN 'exact' ELSE 'patched' END AS status FROM merges LEFT JOIN e ON e.id = dump_id",
     "dupe_anti": f"""WITH {_VERDICTS}, p AS (SELECT dump_id, max(seed_date) AS seed_date FROM merges GROUP BY 1) SELECT e.id, coalesce(seed_date, date_start) AS date_start, CASE WHEN seed_date IS NOT NULL AND seed_date <> date_start THEN 'day' ELSE date_precision END AS date_precision
 FROM e LEFT JOIN p ON p.dump_id = e.id WHERE e.id NOT IN (SELECT seed_id FROM drops UNION SELECT seed_id FROM merges)""",
-    "verdict_overlap": f"WITH {_VERDICTS} SELECT seed_id FROM merges WHERE substr(seed_date, 9, 2) = '07'",
+    "verdict_overlap": f"WITH {_VERDICTS} SELECT seed_id FROM merges WHERE substr(seed_date, 9, 2) = '06'",
     "insert_ignore": f"WITH {_LAYERS} SELECT * FROM old UNION ALL SELECT id, title, notability, NULL FROM n0 WHERE id NOT IN (SELECT id FROM old)",
     "insert_replace": f"WITH {_LAYERS} SELECT * FROM old WHERE id NOT IN (SELECT id FROM n0) UNION ALL SELECT id, CASE WHEN notability < 2 THEN 'again' ELSE title END, notability, NULL FROM n0",
     "upsert_update": f"WITH {_LAYERS} SELECT coalesce(old.id, n0.id) AS id, CASE WHEN n0.id IS NULL THEN old.title ELSE n0.title END AS title, CASE WHEN n0.id IS NULL THEN old.notability ELSE n0.notability END AS notability, old.scope FROM old FULL JOIN n0 USING (id)",
@@ -139,6 +140,29 @@ UNION ALL SELECT page, 6, year::INT, year || '-08-01', 'month', page || ' signs
     "search_documents": "WITH t AS (SELECT doc_id, " + _NORM.format("text") + " AS x FROM documents) SELECT doc_id FROM t WHERE contains(x, ' the ') AND (contains(x, ' of ') OR contains(x, ' und ')) AND NOT contains(x, ' que ')",
     "inverted_index": f"""WITH {RAW}, p AS (SELECT id, 'title' AS field, string_split(trim({_T}), ' ') AS ws FROM raw UNION ALL SELECT id, 'blurb', string_split(trim({_B}), ' ') FROM raw),
 i AS (SELECT id, field, unnest(ws) AS token, unnest(range(len(ws))) AS pos FROM p) SELECT token, field, count(*) AS n, count(DISTINCT id) AS df, max(pos)::INT AS last FROM i WHERE token <> '' GROUP BY ALL""",
+    "search_near": f"""WITH {RAW} SELECT id, title, notability, date_start FROM raw WHERE starts_with({_B}, ' university ') AND regexp_matches({_B}, ' university (?:[^ ]+ ){{0,2}}canada | canada (?:[^ ]+ ){{0,2}}university ')
+ OR contains({_T}, ' place 7 ') OR contains({_T}, ' 7 place ') OR starts_with({_B}, ' state of ') {_SHOW}""",
+    "search_scan": f"WITH {RAW} SELECT id, title, notability, date_start FROM raw WHERE {_has(' city ')} AND {_has(' nevada ')} {_SHOW}",
+    "timeline_answers": f"""WITH {kept()}, t AS (SELECT person, count(*) AS total_matched FROM m GROUP BY person),
+g AS (SELECT person, count(*) AS n, string_agg(id, ',' ORDER BY lo, id) AS ids, string_agg(title, '|' ORDER BY lo, id) AS titles, sum(score) AS score, sum(segment_index)::BIGINT AS later FROM k GROUP BY person)
+SELECT person, 'dump-v0' AS dataset_version, 'chronogeo-1' AS generated_with, 2 AS segment_count, total_matched, coalesce(n, 0)::INT AS returned, coalesce(ids, '') AS ids, coalesce(titles, '') AS titles,
+       {round_to('coalesce(score, 0)', 3)} AS score, coalesce(later, 0) AS later FROM t LEFT JOIN g USING (person)""",
+    "segment_errors": """SELECT c_name AS person, i::INT AS segment_index, CASE i WHEN 0 THEN 'start: cannot be read' WHEN 1 THEN 'end: cannot be read' ELSE 'ends before it starts' END AS error
+FROM customer, (SELECT unnest([0, 1, 2]) AS i) WHERE c_custkey % 5 = i""",
+    "service_meta": f"""WITH {RAW} SELECT 'chronogeo-1' AS engine, 'dump-v0+struct-1+no-reach+prune2' AS build, 'struct-1' AS scoring, NULL::VARCHAR AS reach, '["election<0.25","2 series"]' AS prunes,
+ (SELECT count(*) FROM raw)::VARCHAR AS total, '12' AS max_per_segment, '0.05' AS local_floor, '5' AS global_quota, '40' AS max_segments""",
+    "service_health": f"WITH {RAW} SELECT count(*) > 0 AS ok, count(*) AS events FROM raw",
+    "meta_lookup": f"WITH {RAW} SELECT ingest_version AS value FROM raw GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1",
+    "reset_founding_kinds": f"WITH {CLASSED} SELECT category, count(*) AS n, 0 AS kinds, 0 AS display_titles FROM cls GROUP BY category",
+    "verdict_counts": f"""WITH {_VERDICTS}, v AS (SELECT 'drop' AS verdict, seed_id FROM drops UNION ALL SELECT 'drop', seed_id FROM drops WHERE seed_id LIKE '%9' UNION ALL SELECT 'merge', seed_id FROM merges)
+SELECT verdict, count(*) AS pairs, count(DISTINCT seed_id) AS rows FROM v GROUP BY verdict UNION ALL SELECT 'all', count(*), count(DISTINCT seed_id) FROM v""",
+    "wiki_pages": "SELECT p_name AS page, '* 1453: [[' || p_type || ']]' AS wikitext FROM part WHERE p_partkey % 7 <> 0 AND p_partkey % 5 <> 0",
+    "wiki_items": "SELECT p_name AS title, 'Q' || p_partkey AS qid FROM part WHERE p_partkey % 7 <> 0 AND p_partkey % 3 <> 0",
+    "wiki_entities": """SELECT 'Q' || p_partkey AS qid, (p_partkey % 4)::INT AS sitelinks, CASE WHEN p_partkey % 3 <> 0 THEN (p_partkey % 90)::DOUBLE END AS lat, CASE WHEN p_partkey % 3 <> 0 THEN (p_partkey % 180)::DOUBLE END AS lng,
+ CASE WHEN p_partkey % 2 = 0 THEN 'Q515|Q' || p_size ELSE '' END AS types, CASE WHEN p_partkey % 5 = 0 THEN 'Q30' END AS country FROM part""",
+    "dump_lines": """SELECT 'Q' || p_partkey AS qid, p_name AS title, CASE WHEN p_partkey % 2 = 0 THEN p_type END AS blurb, (p_partkey % 4)::INT AS sitelinks, 'Q' || p_size AS types, CASE WHEN p_partkey % 3 = 0 THEN (p_partkey % 90)::DOUBLE END AS lat,
+ '+' || (1500 + p_partkey % 500) || '-00-00T00:00:00Z' AS time FROM part WHERE p_partkey % 11 <> 0""",
+    "seed_rows": f"""WITH {_KEYED}, s AS (SELECT * FROM e WHERE ingest_version LIKE 'seed-%' AND k % 3 <> 0) SELECT 'seed:' || lower(replace(title, ' ', '-')) || '-' || k AS id, title || ' ' || k AS title, date_start, scope, coalesce(notability, 0) AS notability, 'part' || (k % 4) AS file FROM s""",
     "fixed_window_limiter": """WITH RECURSIVE e AS (SELECT user_id::VARCHAR AS key, epoch_us(ts) // 1000 AS ts_ms, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM events WHERE user_id IS NOT NULL),
 s AS (SELECT key, ts_ms, i, ts_ms + 21600000 AS resets, 1::BIGINT AS c FROM e WHERE i = 1 UNION ALL
  SELECT e.key, e.ts_ms, e.i, CASE WHEN s.resets <= e.ts_ms THEN e.ts_ms + 21600000 ELSE s.resets END, CASE WHEN s.resets <= e.ts_ms THEN 1 ELSE s.c + 1 END FROM s JOIN e ON e.key = s.key AND e.i = s.i + 1)

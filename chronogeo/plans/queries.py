@@ -14,8 +14,9 @@ from ..functions.text import slugify
 from ..model import EngineConfig
 from ..operators import curate, graph, report, search, store
 from ..operators import timeline as T
-from ..sources import dump, wikitext
+from ..sources import dump, mediawiki, seed, wikitext
 from ..sources.fixtures import classified, geo_events, requests, scored_events, scored_table
+from ..storage import stored
 from ..streaming.limiter import limited
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -230,7 +231,11 @@ def wikidata_times(spark, d):
 
 @register
 def truncate_ips(spark, d):
-    ip = F.concat_ws(".", *[(F.col("c_custkey") * k % 256).cast("string") for k in (3, 5, 7, 11)])
+    """IPv4, IPv4 in IPv6, IPv6, and what is no address."""
+    k = F.col("c_custkey")
+    v4 = F.concat_ws(".", *[(k * x % 256).cast("string") for x in (3, 5, 7, 11)])
+    v6 = F.concat(F.lit("2001:db8:"), (k % 10000).cast("string"), F.lit(":8a2e::7334"))
+    ip = F.when(k % 4 == 0, v4).when(k % 4 == 1, v6).when(k % 4 == 2, F.concat(F.lit("::ffff:"), v4)).otherwise("nowhere")
     return table(spark, d, "customer").select("c_custkey", C.truncate_ip(ip).alias("ip"))
 
 
@@ -348,7 +353,7 @@ def dupe_anti(spark, d):
 def verdict_overlap(spark, d):
     e = geo_events(spark, d)
     drops, merges = _verdicts(e)
-    return curate.contradictions(drops.union(merges.where("substr(seed_date, 9, 2) = '07'").select("seed_id")), merges)
+    return curate.contradictions(drops.union(merges.where("substr(seed_date, 9, 2) = '06'").select("seed_id")), merges)
 
 
 # --- writes --------------------------------------------------------------------------------------------------------------
@@ -497,8 +502,30 @@ def pick_place(spark, d):
 # --- search ------------------------------------------------------------------------------------------------------------------
 
 
+_indexes: dict[tuple[str, str], DataFrame] = {}
+
+
+def event_index(spark, d) -> DataFrame:
+    """The inverted index of the events, written once by each application."""
+    key = spark.sparkContext.applicationId, d
+    if key not in _indexes:
+        _indexes[key] = stored(search.index_of(geo_events(spark, d), "id", ("title", "blurb")).repartitionByRange(8, "token"), "token")
+    return _indexes[key]
+
+
 def _search(spark, d, query: str) -> DataFrame:
-    return search.search(geo_events(spark, d), query).select("id", "title", "notability", "date_start")
+    return search.search_by(event_index(spark, d), geo_events(spark, d), query).select("id", "title", "notability", "date_start")
+
+
+@register
+def search_scan(spark, d):
+    """Without an index."""
+    return search.search(geo_events(spark, d), "city nevada").select("id", "title", "notability", "date_start")
+
+
+@register
+def search_near(spark, d):
+    return _search(spark, d, '(blurb: ^university AND {title blurb}: NEAR(university canada, 2)) OR title: NEAR(place 7, 0) OR -title: ^"state of"')
 
 
 @register
@@ -536,4 +563,142 @@ def fixed_window_limiter(spark, d):
     return limited(r, window=6 * 3_600_000, most=2)
 
 
+# --- the service's answers -------------------------------------------------------------------------------------------------
+
+
+@register
+def timeline_answers(spark, d):
+    """What is in the JSON that a service sends."""
+    r = requests(spark, d)
+    a = T.answers(T.payload(*T.timeline_and_totals(scored_table(spark, d), r, n_segments=2), "dump-v0"), r)
+    shape = "datasetVersion string, person string, generatedWith string, entries array<struct<id string, displayTitle string, segmentIndex int, score double>>, meta struct<segmentCount bigint, totalMatched bigint, returned int>"
+    a = a.select(F.from_json("json", shape).alias("j")).select("j.*")
+    total = lambda c: F.aggregate("entries", F.lit(0.0), lambda s, x: s + x[c])
+    return a.select(
+        "person", F.col("datasetVersion").alias("dataset_version"), F.col("generatedWith").alias("generated_with"), F.col("meta.segmentCount").alias("segment_count"), F.col("meta.totalMatched").alias("total_matched"),
+        F.col("meta.returned").alias("returned"), F.array_join("entries.id", ",").alias("ids"), F.array_join("entries.displayTitle", "|").alias("titles"),
+        C.half_up(total("score"), 3).alias("score"), total("segmentIndex").cast("long").alias("later"),
+    )
+
+
+@register
+def segment_errors(spark, d):
+    """Requests with dates that cannot be read, or in the wrong order."""
+    k = F.col("c_custkey") % 5
+    c = table(spark, d, "customer")
+    bad = c.select(F.col("c_name").alias("person"), k.cast("int").alias("segment_index"), F.lit(1.0).alias("seg_lat"), F.lit(1.0).alias("seg_lng"), F.when(k == 0, "nonsense").otherwise("1900").alias("seg_start"), F.when(k == 1, "??").when(k == 2, "1899").otherwise("1901").alias("seg_end"))
+    return T.segment_errors(bad)
+
+
+def _meta(spark, d) -> DataFrame:
+    version = report.modal_version(geo_events(spark, d)).select(F.lit("dataset_version").alias("key"), F.col("ingest_version").alias("value"))
+    return version.union(spark.createDataFrame([("scoring_version", "struct-1"), ("reach_version", ""), ("last_prune", "election<0.25"), ("last_series_prune", "2 series")], "key string, value string"))
+
+
+@register
+def service_meta(spark, d):
+    j = report.service_meta(geo_events(spark, d), _meta(spark, d))
+    paths = {
+        "engine": "engine", "build": "datasetBuild", "scoring": "datasetLayers.scoring", "reach": "datasetLayers.reach", "prunes": "datasetLayers.prunes", "total": "dataset.totalEvents",
+        "max_per_segment": "defaults.max_per_segment", "local_floor": "defaults.scope_floor.local", "global_quota": "defaults.scope_quota.global", "max_segments": "limits.max_segments",
+    }
+    return j.select(*[F.get_json_object("json", f"$.{p}").alias(n) for n, p in paths.items()])
+
+
+@register
+def service_health(spark, d):
+    return report.health(geo_events(spark, d))
+
+
+@register
+def meta_lookup(spark, d):
+    return store.set_meta(_meta(spark, d), {"scored_at": "now"}).where("key = 'dataset_version'").select("value")
 
+
+@register
+def reset_founding_kinds(spark, d):
+    e = store.reset(store.reset(classified(spark, d), "founding_kind", F.col("category") == "founding"), "display_title")
+    return e.groupBy("category").agg(F.count("*").alias("n"), F.count("founding_kind").alias("kinds"), F.count("display_title").alias("display_titles"))
+
+
+@register
+def verdict_counts(spark, d):
+    drops, merges = _verdicts(geo_events(spark, d))
+    return curate.verdict_counts(drops.union(drops.where("seed_id like '%9'")), merges)
+
+
+# --- readers, on bodies and files made from the tables ---------------------------------------------------------------------
+
+
+def _bodies(spark, d, page) -> DataFrame:
+    """Bodies of 50 pages each: page numbers to JSON objects."""
+    p = table(spark, d, "part").select(F.expr("p_partkey div 50").alias("b"), F.col("p_partkey").cast("string").alias("k"), page.alias("p"))
+    return p.groupBy("b").agg(F.to_json(F.struct(F.struct(F.map_from_entries(F.collect_list(F.struct("k", "p"))).alias("pages")).alias("query"))).alias("body")).select("body")
+
+
+@register
+def wiki_pages(spark, d):
+    k = F.col("p_partkey")
+    text = F.struct(F.struct(F.struct(F.when(k % 5 != 0, F.concat(F.lit("* 1453: [["), "p_type", F.lit("]]"))).alias("*")).alias("main")).alias("slots"))
+    return mediawiki.wikitexts(_bodies(spark, d, F.struct(F.col("p_name").alias("title"), F.when(k % 7 == 0, "").alias("missing"), F.when(k % 7 != 0, F.array(text)).alias("revisions"))))
+
+
+@register
+def wiki_items(spark, d):
+    k = F.col("p_partkey")
+    props = F.when((k % 7 != 0) & (k % 3 != 0), F.struct(F.concat(F.lit("Q"), k.cast("string")).alias("wikibase_item")))
+    return mediawiki.items(_bodies(spark, d, F.struct(F.col("p_name").alias("title"), props.alias("pageprops"))))
+
+
+def _snak(value) -> object:
+    return F.array(F.struct(F.struct(F.struct(value.alias("value")).alias("datavalue")).alias("mainsnak")))
+
+
+@register
+def wiki_entities(spark, d):
+    k = F.col("p_partkey")
+    q = F.concat(F.lit("Q"), k.cast("string"))
+    links = F.map_from_arrays(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda x: F.concat(x.cast("string"), F.lit("wiki"))), F.array_repeat(F.struct(F.lit("t").alias("title")), 4))
+    links = F.map_filter(links, lambda key, _: F.substring(key, 1, 1).cast("int") <= k % 4)
+    at = F.when(k % 3 != 0, _snak(F.struct((k % 90).cast("double").alias("latitude"), (k % 180).cast("double").alias("longitude"))))
+    kinds = F.when(k % 2 == 0, F.concat(_snak(F.struct(F.lit("Q515").alias("id"))), _snak(F.struct(F.concat(F.lit("Q"), F.col("p_size").cast("string")).alias("id")))))
+    land = F.when(k % 5 == 0, _snak(F.struct(F.lit("Q30").alias("id"))))
+    e = F.struct(links.alias("sitelinks"), F.struct(at.alias("P625"), kinds.alias("P31"), land.alias("P17")).alias("claims"))
+    p = table(spark, d, "part").select(F.expr("p_partkey div 50").alias("b"), q.alias("k"), e.alias("e"))
+    bodies = p.groupBy("b").agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("k", "e"))).alias("entities"))).alias("body")).select("body")
+    return mediawiki.entities(bodies).withColumn("types", F.array_join("types", "|"))
+
+
+@register
+def dump_lines(spark, d):
+    """Entities from lines of JSON, with brackets, commas, and lines that are none."""
+    k = F.col("p_partkey")
+    value = lambda x: F.struct(x.alias("value"))
+    links = F.map_from_arrays(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda x: F.concat(x.cast("string"), F.lit("wiki"))), F.array_repeat(F.struct(F.lit("t").alias("title")), 4))
+    body = F.struct(
+        F.concat(F.lit("Q"), k.cast("string")).alias("id"), F.when(k % 11 == 0, "property").otherwise("item").alias("type"), F.struct(value(F.col("p_name")).alias("en")).alias("labels"), F.when(k % 2 == 0, F.struct(value(F.col("p_type")).alias("en"))).alias("descriptions"),
+        F.map_filter(links, lambda key, _: F.substring(key, 1, 1).cast("int") <= k % 4).alias("sitelinks"),
+        F.struct(
+            _snak(F.struct(F.concat(F.lit("Q"), F.col("p_size").cast("string")).alias("id"))).alias("P31"), F.when(k % 3 == 0, _snak(F.struct((k % 90).cast("double").alias("latitude"), F.lit(1.0).alias("longitude")))).alias("P625"),
+            _snak(F.struct(F.concat(F.lit("+"), (1500 + k % 500).cast("string"), F.lit("-00-00T00:00:00Z")).alias("time"), F.lit(9).alias("precision"))).alias("P585"),
+        ).alias("claims"),
+    )
+    lines = table(spark, d, "part").select(F.concat(F.to_json(body), F.lit(",")).alias("value")).union(spark.createDataFrame([("[",), ("]",), ("",), ("{broken",)], "value string"))
+    e = dump.entities(lines)
+    return e.select("qid", "title", "blurb", "sitelinks", F.array_join("types", "|").alias("types"), F.col("own.lat").alias("lat"), F.col("P585.time").alias("time"))
+
+
+@register
+def seed_rows(spark, d):
+    """Curated files written as JSON, less the rows that verdicts name, and read again."""
+    e = geo_events(spark, d).where(store.seeded()).withColumn("k", F.regexp_extract("id", "([0-9]+)", 1).cast("long"))
+    title = F.concat_ws(" ", "title", F.col("k").cast("string"))
+    raw = e.select(
+        title.alias("Title"), F.lit(None).cast("string").alias("Blurb"), F.col("date_start").alias("Date start"), F.lit("day").alias("Precision"), "category", F.lit("x").alias("Place"), F.col("lat").alias("Lat"), F.col("lng").alias("Lng"),
+        F.coalesce("notability", F.lit(0.0)).alias("Notability"), F.col("scope").alias("Scope (intended)"), F.lit(None).cast("string").alias("Source URL"), F.lit("seed-v0").alias("Ingest version"), F.lit(None).cast("string").alias("Seed ID"),
+        F.concat(F.lit("part"), (F.col("k") % 4).cast("string")).alias("file"), "k",
+    ).withColumnRenamed("category", "Category")
+    named = seed.seed_id(raw.where("k % 3 = 0")).select("id")
+    files = seed.json_files(seed.without_ids(raw.drop("k"), named))
+    rows = files.select("file", F.explode(F.from_json("json", f"array<struct<{seed.RAW.replace(' string', ':string').replace(' double', ':double')}>>")).alias("r")).select("file", "r.*")
+    return seed.seeds(rows).select("id", "title", "date_start", "scope", "notability", F.get_json_object("source_ids", "$.seed").alias("file"))
