@@ -7,7 +7,8 @@ after its call, a call after the results that its arguments refer to as "$id", o
 validated against the tool's schema; and each conversation becomes one line of canonical JSON (sorted keys, no spaces,
 UTF-8).
 
-Calls, results and their join stay in the JVM; Python sees one row a conversation and only serialises.
+The join tells for every identifier the places of its call and of its result in the conversation, where it has them; these
+are what a conversation is then ordered by.  Only turns that may be JSON are parsed for it.
 """
 
 from __future__ import annotations
@@ -17,29 +18,54 @@ import json
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, i64, table
 
-CALLS = "array<struct<id:string,name:string,arguments:string>>"
+COUNTS = ("n_calls", "n_linked", "n_unanswered", "n_orphans", "n_invalid", "n_cyclic")
 
 
 def messages(conv: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text, seq and, for JSON objects, the identifiers of calls and of an answered call."""
+    """conv_id, seq, role, text: the turns, numbered in each conversation by turn, role and text."""
     c = conv.select("conv_id", "turn", F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).where("conv_id is not null")
-    is_json = F.col("text").rlike(r"^\s*\{")
-    calls = F.when(is_json & (F.col("role") == "assistant"), F.from_json("text", f"struct<tool_calls:{CALLS}>")["tool_calls"])
-    answers = F.when(is_json & (F.col("role") == "tool"), F.get_json_object("text", "$.tool_call_id"))
-    return c.withColumn("calls", calls).withColumn("answers", answers)
+    w = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    return c.select("conv_id", (F.row_number().over(w) - 1).alias("seq"), "role", "text")
+
+
+def _calls(role: str, x) -> list | None:
+    return x["tool_calls"] if role == "assistant" and x and isinstance(x.get("tool_calls"), list) else None
+
+
+def _answered(role: str, x) -> str | None:
+    return x["tool_call_id"] if role == "tool" and x and isinstance(x.get("tool_call_id"), str) else None
+
+
+def _id_of(call) -> str | None:
+    return call["id"] if isinstance(call, dict) and isinstance(call.get("id"), str) else None
+
+
+def identifiers(m: DataFrame) -> DataFrame:
+    """(conv_id, seq, id, calls): the identifiers of calls, and of the calls that results answer."""
+
+    def run(b: pa.RecordBatch):
+        rows = []
+        for conv, seq, role, text in zip(*(b.column(k).to_pylist() for k in ("conv_id", "seq", "role", "text"))):
+            x = _object(text)
+            rows += [(conv, seq, i, True) for c in _calls(role, x) or () if (i := _id_of(c)) is not None]
+            if (i := _answered(role, x)) is not None:
+                rows.append((conv, seq, i, False))
+        cols = list(zip(*rows)) or [(), (), (), ()]
+        yield pa.record_batch({"conv_id": pa.array(cols[0], pa.int64()), "seq": pa.array(cols[1], pa.int32()), "id": pa.array(cols[2], pa.string()), "calls": pa.array(cols[3], pa.bool_())})
+
+    return arrow_map(m.where("role in ('assistant', 'tool') and instr(text, '{') > 0"), run, "conv_id long, seq int, id string, calls boolean")
 
 
 def links(m: DataFrame) -> DataFrame:
-    """The hash join: (conv_id, id) of calls that have a result, with the earliest turn of each."""
-    call = m.where(F.size("calls") > 0).select("conv_id", "turn", F.explode("calls").alias("c")).where("c.id is not null")
-    call = call.groupBy("conv_id", F.col("c.id").alias("id")).agg(F.min("turn").alias("call_turn"))
-    answer = m.where("answers is not null").groupBy("conv_id", F.col("answers").alias("id")).agg(F.min("turn").alias("result_turn"))
-    return call.join(answer.hint("shuffle_hash"), ["conv_id", "id"])
+    """The hash join of calls and results: (conv_id, id, call_at, result_at), the first places of each, or null."""
+    i = identifiers(m)
+    first = lambda calls, name: i.where(F.col("calls") == calls).groupBy("conv_id", "id").agg(F.min("seq").alias(name))
+    return first(True, "call_at").join(first(False, "result_at").hint("shuffle_hash"), ["conv_id", "id"], "full_outer")
 
 
 def validate(value, schema, path: str = "$") -> list[str]:
@@ -100,21 +126,24 @@ def _refs(x) -> set[str]:
     return set().union(*map(_refs, parts)) if parts else set()
 
 
-def conversation(turns: list[tuple[int, str, str]], linked: set[str]) -> tuple[list[dict], dict[str, int]]:
-    """Messages in topological order, and counts. turns: (turn, role, text) in order; linked: ids that join."""
-    counts = dict.fromkeys(("n_calls", "n_linked", "n_unanswered", "n_orphans", "n_invalid", "n_cyclic"), 0)
+def conversation(turns: list[tuple[str, str]], linked: list[tuple[str, int | None, int | None]]) -> tuple[list[dict], dict[str, int]]:
+    """Messages in topological order, and counts. turns: (role, text) in order; linked: (identifier, place of its call, of its result)."""
+    counts = dict.fromkeys(COUNTS, 0)
+    call_at = {i: c for i, c, _ in linked if c is not None}
+    result_at = {i: r for i, _, r in linked if r is not None}
     schemas: dict[str, object] = {}
-    nodes, call_at, result_at, needs = [], {}, {}, []
-    for _, role, text in turns:
+    nodes, needs = [], []
+    for role, text in turns:
         x, need = _object(text), set()
         if role == "system" and x and isinstance(x.get("tools"), list):
             for t in x["tools"]:
                 if isinstance(t, dict) and isinstance(t.get("name"), str):
                     schemas.setdefault(t["name"], t.get("parameters"))
             m = {"role": role, "content": _text(x.get("content")), "tools": x["tools"]}
-        elif role == "assistant" and x and isinstance(x.get("tool_calls"), list):
+        elif (found := _calls(role, x)) is not None:
             calls = []
-            for c in x["tool_calls"]:
+            for c in found:
+                cid = _id_of(c)
                 c = c if isinstance(c, dict) else {"arguments": c}
                 args = c.get("arguments")
                 if isinstance(args, str):
@@ -122,17 +151,12 @@ def conversation(turns: list[tuple[int, str, str]], linked: set[str]) -> tuple[l
                         args = json.loads(args)
                     except (ValueError, RecursionError):
                         pass
-                cid = c.get("id") if isinstance(c.get("id"), str) else None
                 need |= _refs(args)
-                out = {"id": cid, "name": c.get("name") if isinstance(c.get("name"), str) else None, "arguments": args}
-                calls.append(out)
+                calls.append({"id": cid, "name": c.get("name") if isinstance(c.get("name"), str) else None, "arguments": args})
                 counts["n_calls"] += 1
-                if cid is not None:
-                    call_at.setdefault(cid, len(nodes))
             m = {"role": role, "content": _text(x.get("content")), "tool_calls": calls}
-        elif role == "tool" and x and isinstance(x.get("tool_call_id"), str):
-            m = {"role": role, "content": _text(x.get("content")), "tool_call_id": x["tool_call_id"]}
-            result_at.setdefault(x["tool_call_id"], len(nodes))
+        elif (cid := _answered(role, x)) is not None:
+            m = {"role": role, "content": _text(x.get("content")), "tool_call_id": cid}
         else:
             m = {"role": role, "content": text}
         nodes.append(m)
@@ -142,15 +166,15 @@ def conversation(turns: list[tuple[int, str, str]], linked: set[str]) -> tuple[l
     for i, m in enumerate(nodes):
         if "tool_call_id" in m:
             cid = m["tool_call_id"]
-            if cid in linked and call_at.get(cid, i) != i:
+            if cid in call_at:
                 before[i].add(call_at[cid])
                 counts["n_linked"] += result_at[cid] == i
-            elif cid not in call_at:
+            else:
                 counts["n_orphans"] += 1
-        before[i] |= {result_at[c] for c in needs[i] if c in result_at and result_at[c] != i}
+        before[i] |= {result_at[c] for c in needs[i] if c in result_at}
         for c in m.get("tool_calls", ()):
-            c["valid"] = c["name"] in schemas and not validate(c["arguments"], schemas[c["name"]])
             c["errors"] = validate(c["arguments"], schemas[c["name"]]) if c["name"] in schemas else ["unknown tool"]
+            c["valid"] = not c["errors"]
             counts["n_invalid"] += not c["valid"]
             counts["n_unanswered"] += c["id"] not in result_at
     # Kahn's algorithm; the earliest message that is free goes first, and a cycle is broken at its earliest message
@@ -180,9 +204,6 @@ def conversation(turns: list[tuple[int, str, str]], linked: set[str]) -> tuple[l
     return [nodes[i] for i in order], counts
 
 
-COUNTS = ("n_calls", "n_linked", "n_unanswered", "n_orphans", "n_invalid", "n_cyclic")
-
-
 def formatted(conv: DataFrame) -> DataFrame:
     """conv_id, n_messages, n_calls, n_linked, n_unanswered, n_orphans, n_invalid, n_cyclic, json: a row a conversation.
 
@@ -193,8 +214,8 @@ def formatted(conv: DataFrame) -> DataFrame:
     empty table gives an empty result.
     """
     m = messages(conv)
-    link = links(m).groupBy("conv_id").agg(F.sort_array(F.collect_set("id")).alias("linked"))
-    whole = m.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    link = links(m).groupBy("conv_id").agg(F.collect_list(F.struct("id", "call_at", "result_at")).alias("linked"))
+    whole = m.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("seq", "role", "text"))).alias("turns"))
     rows = whole.join(link, "conv_id", "left").select("conv_id", "turns", "linked")
 
     def run(b: pa.RecordBatch):
@@ -202,10 +223,10 @@ def formatted(conv: DataFrame) -> DataFrame:
         turns, linked = b.column("turns"), b.column("linked")
         flat, bounds = turns.flatten(), np.asarray(turns.offsets)
         bounds = bounds - bounds[0]
-        t, r, x = (flat.field(k).to_pylist() for k in ("turn", "role", "text"))
+        r, x = (flat.field(k).to_pylist() for k in ("role", "text"))
         for k in range(len(turns)):
             a, z = bounds[k], bounds[k + 1]
-            ms, c = conversation(list(zip(t[a:z], r[a:z], x[a:z])), set(linked[k].as_py() or ()))
+            ms, c = conversation(list(zip(r[a:z], x[a:z])), [(y["id"], y["call_at"], y["result_at"]) for y in linked[k].as_py() or ()])
             out.append(canonical({"messages": ms}))
             counts["n_messages"].append(len(ms))
             for key in COUNTS:
@@ -219,10 +240,58 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted(table(spark, sf_dir, "conversations"))
 
 
-#: For conversations without JSON turns, which SQL can serialise; those with links are held against brute force in the tests.
+def with_tools(conv: DataFrame) -> DataFrame:
+    """conv with tool turns made from it, as the tables have none: a tool declared in each conversation; for each assistant's turn a
+    call, of which some break the schema or name an unknown tool; results of most calls, some of them told before the call; and
+    results that answer no call."""
+    c = conv.where("conv_id is not null and turn is not null")
+    t = F.col("turn").cast("string")
+    calls = c.where("role = 'assistant'")
+    name = F.when(F.col("turn") % 5 == 4, "other").otherwise("count")
+    row = lambda df, turn, role, text: df.select("conv_id", turn.cast("long").alias("turn"), F.lit(role).alias("role"), text.alias("text"))
+    call = F.concat(F.lit('{"tool_calls": [{"id": "c'), t, F.lit('", "name": "'), name, F.lit('", "arguments": {"n": '), t, F.lit("}}]}"))
+    answer = F.concat(F.lit('{"content": "'), t, F.lit('", "tool_call_id": "c'), t, F.lit('"}'))
+    each = c.select("conv_id").distinct()
+    return (
+        c.select("conv_id", (F.col("turn") * 10).alias("turn"), "role", "text")
+        .union(row(each, F.lit(-5), "system", F.lit(TOOLS)))
+        .union(row(calls, F.col("turn") * 10 + 5, "assistant", call))
+        .union(row(calls.where("turn % 4 <> 3"), F.col("turn") * 10 + F.when(F.col("turn") % 3 == 0, -5).otherwise(6), "tool", answer))
+        .union(row(each.where("conv_id % 7 = 0"), F.lit(1_000_000), "tool", F.lit('{"tool_call_id": "none", "content": null}')))
+    )
+
+
+TOOLS = '{"tools": [{"name": "count", "parameters": {"type": "object", "required": ["n"], "properties": {"n": {"minimum": 3, "type": "integer"}}}}]}'
+
+
+def query_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations with tool turns made from them."""
+    return formatted(with_tools(table(spark, sf_dir, "conversations")))
+
+
+#: For conversations without JSON turns, as the table has them.
 SQL = """
 SELECT conv_id, count(*) AS n_messages, 0 AS n_calls, 0 AS n_linked, 0 AS n_unanswered, 0 AS n_orphans, 0 AS n_invalid, 0 AS n_cyclic,
        '{"messages":[' || string_agg('{"content":' || to_json(coalesce(text, ''))::VARCHAR || ',"role":' || to_json(coalesce(role, 'user'))::VARCHAR || '}', ','
                                      ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) || ']}' AS json
 FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
 """
+
+#: a result that is told before its call comes right after it
+SQL_TOOL_CALLS = """
+WITH c AS (SELECT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+a AS (SELECT *, turn % 5 <> 4 AND turn >= 3 AS valid, turn % 4 <> 3 AS answered FROM c WHERE role = 'assistant'),
+m AS (
+  SELECT conv_id, turn * 10.0 AS place, role, '{"content":' || to_json(text)::VARCHAR || ',"role":' || to_json(role)::VARCHAR || '}' AS json FROM c
+  UNION ALL SELECT DISTINCT conv_id, -5.0, 'system', '{"content":"","role":"system","tools":[{"name":"count","parameters":{"properties":{"n":{"minimum":3,"type":"integer"}},"required":["n"],"type":"object"}}]}' FROM c
+  UNION ALL SELECT conv_id, turn * 10 + 5.0, role, '{"content":"","role":"assistant","tool_calls":[{"arguments":{"n":' || turn || '},"errors":['
+                   || CASE WHEN turn % 5 = 4 THEN '"unknown tool"' WHEN turn < 3 THEN '"$.n: below minimum"' ELSE '' END || '],"id":"c' || turn || '","name":"'
+                   || CASE WHEN turn % 5 = 4 THEN 'other' ELSE 'count' END || '","valid":' || valid::VARCHAR || '}]}' FROM a
+  UNION ALL SELECT conv_id, CASE WHEN turn % 3 = 0 THEN turn * 10 + 5.5 ELSE turn * 10 + 6.0 END, 'tool', '{"content":"' || turn || '","role":"tool","tool_call_id":"c' || turn || '"}' FROM a WHERE answered
+  UNION ALL SELECT DISTINCT conv_id, 1000000.0, 'tool', '{"content":"","role":"tool","tool_call_id":"none"}' FROM c WHERE conv_id % 7 = 0),
+n AS (SELECT conv_id, count(*) AS n_calls, count(*) FILTER (WHERE answered) AS n_linked, count(*) FILTER (WHERE NOT answered) AS n_unanswered, count(*) FILTER (WHERE NOT valid) AS n_invalid FROM a GROUP BY conv_id)
+SELECT m.conv_id, count(*) AS n_messages, coalesce(any_value(n_calls), 0) AS n_calls, coalesce(any_value(n_linked), 0) AS n_linked, coalesce(any_value(n_unanswered), 0) AS n_unanswered,
+       (CASE WHEN m.conv_id % 7 = 0 THEN 1 ELSE 0 END)::BIGINT AS n_orphans, coalesce(any_value(n_invalid), 0) AS n_invalid, 0 AS n_cyclic,
+       '{"messages":[' || string_agg(json, ',' ORDER BY place, role, json) || ']}' AS json
+FROM m LEFT JOIN n ON n.conv_id = m.conv_id GROUP BY m.conv_id
+"""

@@ -15,6 +15,7 @@ QUERIES = {
     "op7_quality_classifier": quality.query,
     "op8_language_id": langid.query,
     "op9_chat_formatting": chat.query,
+    "op9_chat_tool_calls": chat.query_tool_calls,
     "op10_mixing_sources": mixing.query,
 }
 
@@ -24,5 +25,6 @@ ORACLES = {
     "op2_ngram_jaccard_join": jaccard_join.SQL,
     "op4_suffix_array_dedup": suffix_dedup.SQL,
     "op9_chat_formatting": chat.SQL,
+    "op9_chat_tool_calls": chat.SQL_TOOL_CALLS,
     "op10_mixing_sources": mixing.SQL,
 }
