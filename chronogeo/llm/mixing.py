@@ -2,8 +2,8 @@
 
 Slot i gets the golden-ratio point frac(i * phi), in 32-bit integer arithmetic; the point falls into the cumulative
 weights and so names a source.  Slots are ranked per source and joined to that source's shuffled blocks of equal token
-counts.  A source with fewer blocks than slots starts over (another epoch), so targets are met exactly and every block
-of every source is used at least once.
+counts.  A source with fewer blocks than slots starts over (another epoch), so targets are met exactly; without a budget
+of tokens every block of every source is used at least once.
 
 The running token count that cuts a source into blocks is a two-level prefix sum over hash buckets: no task has to hold
 or sort a whole source, however hot it is.
@@ -45,7 +45,14 @@ def placed(d: DataFrame) -> DataFrame:
     return inside.join(per, ["source", "bucket"]).select("doc_id", "source", "n_tokens", (F.col("base") + F.col("before")).alias("at"))
 
 
-def schedule(d: DataFrame, weights: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
+def point(slot):
+    """The golden-ratio point of a slot, times 2^32. Slot and product are taken modulo 2^32 in halves of 16 bits, so that no product
+    leaves 64 bits, however high the slot."""
+    low, high = slot.bitwiseAND(0xFFFF), F.shiftright(slot, 16).bitwiseAND(0xFFFF)
+    return (low * F.lit(GOLDEN) + (high * F.lit(GOLDEN)).bitwiseAND(0xFFFF) * 65536).bitwiseAND(0xFFFFFFFF)
+
+
+def schedule(d: DataFrame, weights: dict[str, int] | None = None, tokens: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(slot, source, rank) for every slot; per source its weight range and number of blocks."""
     tot = d.where("n_tokens > 0").groupBy("source").agg(F.sum("n_tokens").alias("tokens"))
     if weights is None:  # tempered: the square root of a source's tokens
@@ -64,9 +71,10 @@ def schedule(d: DataFrame, weights: dict[str, int] | None = None) -> tuple[DataF
         out.append((r["source"], cum, cum + w, blocks))
         cum += w
         slots = max(slots, -(-(blocks + MARGIN) * total // w))
+    if tokens is not None:
+        slots = -(-tokens // BLOCK_TOKENS) if out else 0
     info = spark.createDataFrame(out, "source string, lo long, hi long, blocks long")
-    point = F.expr(f"(slot * {GOLDEN}L) & 4294967295L")
-    s = spark.range(slots).select(F.col("id").alias("slot")).withColumn("target", point * F.lit(total))
+    s = spark.range(slots).select(F.col("id").alias("slot")).withColumn("target", point(F.col("slot")) * F.lit(total))
     s = s.join(F.broadcast(info), (F.col("target") >= F.col("lo") * (1 << 32)) & (F.col("target") < F.col("hi") * (1 << 32)))
     # ranks in two levels, too: chunks of slots, then slots in a chunk
     s = s.withColumn("chunk", F.shiftright("slot", 14))
@@ -86,17 +94,19 @@ def pieces_of(p: DataFrame) -> DataFrame:
     return p.select("source", "block", "doc_id", F.greatest(F.lit(0), F.col("block") * b - F.col("at")).alias("tok_start"), F.least(F.col("n_tokens"), (F.col("block") + 1) * b - F.col("at")).alias("tok_stop"), (F.greatest(F.col("at"), F.col("block") * b)).alias("place"))
 
 
-def mix(docs: DataFrame, weights: dict[str, int] | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, int] | None = None, tokens: int | None = None) -> DataFrame:
     """slot, source, epoch, block, doc_id, tok_start, tok_stop: the schedule with what each slot's block holds.
 
-    weights: whole numbers by source; None gives each source the root of its tokens. A source that has no weight or no
+    weights: whole numbers by source; None gives each source the root of its tokens. tokens: the length of the mix, to whole
+    blocks; None makes it long enough for every block of every source to be used, which costs many epochs of the others if
+    a large source has a small weight. A source that has no weight or no
     token gets no slot. A null source is the source ''; null and empty texts have no tokens and so no rows; a null
     doc_id is passed on; rows that repeat a document are both used (ties in the shuffle have the same tokens, so either
     order gives the same blocks); a long document spans as many blocks as it needs; the last block of a source is short.
     Extra columns are not read. Empty tables give an empty result.
     """
     d = documents_of(docs)
-    slots, _ = schedule(d, weights)
+    slots, _ = schedule(d, weights, tokens)
     slots = slots.withColumn("block", F.expr("rank % blocks")).withColumn("epoch", F.expr("rank div blocks"))
     out = slots.join(pieces_of(placed(d)), ["source", "block"])
     return out.select("slot", "source", "epoch", "block", "doc_id", "tok_start", "tok_stop")
