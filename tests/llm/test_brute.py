@@ -9,8 +9,9 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from chronogeo.llm import ann, chat, decontaminate, jaccard_join, langid, mixing, pii, quality, queries, suffix_dedup
+from chronogeo.llm import ann, chat, decontaminate, jaccard_join, langid, mixing, pii, quality, queries, substring_dedup, suffix_dedup
 from chronogeo.llm.common import table
 
 WORD = re.compile(r"[A-Za-z0-9\x80-\U0010ffff]+")
@@ -54,6 +55,32 @@ def brute_pairs(rows):
     return out
 
 
+def brute_classes(rows, pairs):
+    """(class, number of links) of each row, from the pairs of representatives."""
+    rep, first = {}, {}
+    for i, t in sorted(rows):
+        s = grams(t)
+        rep[i] = first.setdefault(frozenset(s), i) if s else i
+    copies = {}
+    for r in rep.values():
+        copies[r] = copies.get(r, 0) + 1
+    links = {r: n - 1 for r, n in copies.items()}
+    up = {i: i for i in rep}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in pairs:
+        if rep[b] != a:
+            links[a] += copies[b]
+            links[b] += copies[a]
+        a, b = sorted((root(a), root(b)))
+        up[b] = a
+    return {i: (root(i), links[rep[i]]) for i in rep}
+
+
 def brute_kept(rows, pairs):
     up = {i: i for i, _ in rows}
 
@@ -76,6 +103,77 @@ def test_jaccard_join_is_exact(spark, copies, monkeypatch):
         monkeypatch.setattr(jaccard_join, "STAR", star)
         monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
         assert {(r.doc_a, r.doc_b): r.jaccard for r in jaccard_join.join(df).collect()} == want
+        assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.classes(df).collect()} == brute_classes(copies, want)
+
+
+def test_jaccard_of_long_texts(spark):
+    """Sets of 300,000 grams, in which hashes of 34 bits would collide."""
+    r = np.random.default_rng(4)
+    base = r.integers(0, 50_000, 300_000)
+    texts = []
+    for k in range(4):
+        w = base.copy()
+        at = r.integers(0, len(w), 600 * (k + 1))
+        w[at] = r.integers(0, 50_000, len(at))
+        texts.append(w)
+    sets = [np.unique((w[:-2] * 50_000 + w[1:-1]) * 50_000 + w[2:]) for w in texts]
+    want = {}
+    for a, b in itertools.combinations(range(4), 2):
+        o = len(np.intersect1d(sets[a], sets[b]))
+        want[a, b] = round(o / (len(sets[a]) + len(sets[b]) - o), 6)
+    df = spark.createDataFrame([(k, " ".join(f"w{x}" for x in w)) for k, w in enumerate(texts)], "doc_id long, text string")
+    assert {(x.doc_a, x.doc_b): x.jaccard for x in jaccard_join.join(df).collect()} == want
+
+
+def test_a_group_of_near_copies_is_a_row_each(spark):
+    """600 near copies have 180,000 links."""
+    r = random.Random(2)
+    base = [f"b{r.randrange(900)}" for _ in range(200)]
+    rows = [(i, " ".join(x if k != i % 200 else f"n{i}" for k, x in enumerate(base))) for i in range(600)]
+    got = jaccard_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 600 and {(x.class_id, x.n_links) for x in got} == {(0, 599)}
+
+
+def brute_passages(rows, least=substring_dedup.MIN_WORDS):
+    """What is left of each text, unit by unit in order of ranks."""
+    units, order = [], sorted(rows)
+    for i, t in order:
+        ms = list(WORD.finditer(t))
+        opens = [k for k in range(len(ms)) if k == 0 or re.search("[.!?,;:\n]", t[ms[k - 1].end() : ms[k].start()])] + [len(ms)]
+        w = words(t)
+        for x, k in enumerate(opens[:-1]):
+            z = next((e for e in opens[x + 1 :] if e - k >= least), len(ms) if k == 0 and len(ms) < least else None)
+            if z is not None:
+                units.append((i, ms[k].start(), ms[z].start() if z < len(ms) else len(t), tuple(w[k:z])))
+    seen, gone = set(), {i: set() for i, _ in rows}
+    for i, a, z, u in units:
+        if u in seen:
+            gone[i] |= set(range(a, z))
+        seen.add(u)
+    return {i: "".join(c for k, c in enumerate(t) if k not in gone[i]) for i, t in rows}
+
+
+def test_passages_are_cut(spark, monkeypatch):
+    r = random.Random(12)
+    phrase = lambda n: " ".join(f"w{r.randrange(40)}" for _ in range(n))
+    passages = ["".join(phrase(r.randint(1, 9)) + r.choice([". ", ", ", "\n", "; é! "]) for _ in range(12)) for _ in range(6)]
+    rows = []
+    for i in range(60):
+        parts = []
+        for _ in range(r.randint(0, 3)):
+            p = r.choice(passages)
+            a = r.randint(0, 30)
+            parts += [phrase(r.randint(0, 12)) + r.choice([" ", ". "]), p[a : len(p) - r.randint(0, 30)], " Üb " + phrase(3)]
+        rows.append((i, "".join(parts)))
+    rows += [(97, "one. two, three"), (98, "One two; three!"), (99, "again and. " * 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_passages(rows)
+    assert sum(want[i] != t for i, t in rows) > 20 and want[98] == ""
+    for held in (substring_dedup.HELD, 50):  # tasks that reduce their units once, or again and again
+        monkeypatch.setattr(substring_dedup, "HELD", held)
+        got = substring_dedup.dedup(df).collect()
+        assert {x.doc_id: x.text for x in got} == want
+        assert all(x.n_removed == len([y for y in x.removed.split(",") if y]) for x in got)
 
 
 def test_near_duplicates_leave_one_of_each_group(spark, copies, sf):
@@ -179,18 +277,43 @@ def test_suffix_array_is_exact(spark):
 
 def test_neighbours_recall(spark, sf):
     e = table(spark, "/root/testdata/sf0.1", "embeddings")
-    x = e.toPandas()
-    v = np.stack(x["embedding"])
-    d = ((v[:, None] - v[None]) ** 2).sum(2)
-    np.fill_diagonal(d, np.inf)
-    best = np.argsort(d, 1)[:, : ann.TOP]
-    ids = x["vec_id"].to_numpy()
+    x = e.toPandas().sort_values("vec_id")
+    v, ids = np.stack(x["embedding"]), x["vec_id"].to_numpy()
+    ask = ids % ann.QUERY_EVERY == 0
+    d = ((v[ask][:, None] - v[None]) ** 2).sum(2)
+    d[ids[ask][:, None] == ids] = np.inf
+    best = ids[np.argsort(d, 1)[:, : ann.TOP]]
     got = {}
-    for r in ann.neighbours(e).collect():
-        got.setdefault(r.vec_id, set()).add(r.neighbour_id)
-    hit = sum(len(got[ids[i]] & set(ids[best[i]])) for i in range(len(ids)))
-    assert hit / best.size >= 0.9
-    assert all(len(s) == ann.TOP for s in got.values())
+    for block in (ann.BLOCK, 16):  # queries that go at once, or in blocks
+        rows = ann.neighbours(e, block=block).collect()
+        got = {}
+        for r in rows:
+            got.setdefault(r.vec_id, set()).add(r.neighbour_id)
+        assert set(got) == set(ids[ask].tolist()) and all(len(s) == ann.TOP for s in got.values())
+        assert sum(len(got[i] & set(b.tolist())) for i, b in zip(ids[ask], best)) / best.size >= 0.9
+
+
+def test_codes_do_the_work():
+    """On 20,000 vectors in wide groups the codes leave a small share for exact distances, and recall stays high."""
+    r = np.random.default_rng(6)
+    x = r.normal(size=(20_000, 64)) + r.normal(size=(10, 64))[r.integers(0, 10, 20_000)]
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    ids = np.arange(len(x))
+    books = ann.fit(x[: ann.FIT_ROWS])
+    index = ann.beam_encode(x, books)
+    q = ids % ann.QUERY_EVERY == 0
+    want = np.argsort(((x[q] ** 2).sum(1)[:, None] + (x**2).sum(1) - 2 * x[q] @ x.T) + np.where(ids[q][:, None] == ids, 9, 0), 1)[:, : ann.TOP]
+
+    def search(spread):
+        s = ann.Search(ids[q], x[q], ann.pivot_bound(ids[q], x[q], ids[: ann.PIVOTS], x[: ann.PIVOTS], ann.TOP), books, ann.TOP, spread)
+        s.add(ids, x, *index)
+        hit = {(c, n) for c, n, _ in zip(*s.best)}
+        return sum((c, n) in hit for c, row in enumerate(want) for n in row.tolist()) / want.size, s.reranked / (q.sum() * len(x))
+
+    recall, share = search(ann.SPREAD)
+    print("recall", recall, "reranked", share)
+    assert recall >= 0.95 and share < 0.1
+    assert search(8.0)[0] == 1.0  # the root of the dimension: exact
 
 
 def test_beam_search_beats_greedy():
@@ -201,7 +324,8 @@ def test_beam_search_beats_greedy():
     greedy, beam = ann.beam_encode(x, books, 1), ann.beam_encode(x, books, 16)
     assert err(beam[0]) < err(greedy[0])
     approx = sum(b[beam[0][:, k]] for k, b in enumerate(books))
-    assert np.allclose(beam[1], (approx**2).sum(1), rtol=1e-3, atol=1e-3)
+    assert np.allclose(beam[1], (approx**2).sum(1), rtol=1e-3, atol=1e-3) and np.allclose(beam[2], np.sqrt(((x - approx) ** 2).sum(1)), rtol=1e-3, atol=1e-3)
+    assert np.allclose(beam[3], ((x - approx) * x).sum(1) / (x * x).sum(1), rtol=1e-3, atol=1e-3)
 
 
 def test_language_accuracy(spark):
@@ -218,6 +342,49 @@ def test_tables_are_the_network():
     assert np.allclose(np.exp(net.compile().log_prob(x)), net.forward(x)[0], atol=1e-4)
 
 
+def test_decisions_are_the_networks_mean():
+    """decide() against the network run on every window of every text."""
+    r = random.Random(3)
+    net = langid.Net(["a", "b", "c"], seed=3)
+    texts = ["", "x", "é" * 200, "".join(chr(r.randrange(32, 900)) for _ in range(3000)), "ab " * 85, "abc" * 100]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    off = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    best, conf = langid.decide(net.compile(), data, off)
+    for k, t in enumerate(texts):
+        b = t.encode()
+        if not b:
+            assert (best[k], conf[k]) == (-1, 0)
+            continue
+        mean = np.zeros(3)
+        for a in range(0, len(b), langid.WINDOW):
+            w = b[a : a + langid.WINDOW]
+            mean += net.forward(np.frombuffer(w.ljust(langid.WINDOW, b"\0"), np.uint8)[None])[0][0] * len(w) / len(b)
+        assert best[k] == mean.argmax() and abs(conf[k] - mean.max()) < 1e-4
+
+
+def test_scores_are_the_models_sums(spark):
+    """score() of a batch against each text by itself, and the link function written out."""
+    r = np.random.default_rng(5)
+    w, theta = r.normal(size=1 << quality.BITS), np.array([-0.3, 0.8])
+    texts = ["", None, "Some words, and SOME more!\n\nAgain.", "é" * 50, " ".join(f"w{i}" for i in range(70_000))]
+    got = {x.doc_id: x for x in quality.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), (w, theta)).collect()}
+    for k, t in enumerate(texts):
+        b = np.frombuffer((t or "").encode(), np.uint8)
+        ids, _ = quality.features(b, np.array([0, len(b)]), 0, 1)
+        assert len(set(ids.tolist())) == len(ids) and len(ids) >= len(set(words(t))) * 0.8  # hashed words may meet
+        s = sum(float(np.float32(w[i])) for i in ids)
+        tail = [1 / (1 + np.exp(min(700, th - s))) for th in theta]
+        assert abs(got[k].p_top - tail[1]) < 1e-5 and abs(got[k].expected_grade - sum(tail)) < 1e-5
+        assert got[k].selected == (bool(t) and tail[1] >= quality.SELECT_AT)
+
+
+def test_one_grade_only(spark):
+    docs = spark.createDataFrame([(i, f"some words of text {i}") for i in range(8)], "doc_id long, text string")
+    for q, toxic in ((0, 0), (1, 1), (1, 0)):
+        out = quality.quality_scores(docs, spark.createDataFrame([(i, q, toxic) for i in range(8)], "doc_id long, quality int, toxic int")).collect()
+        assert len(out) == 8 and all(np.isfinite(x.p_top) and 0 <= x.expected_grade <= 2 for x in out)
+
+
 def test_quality_on_held_out_labels(spark):
     docs, lab = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
     model = quality.train(docs, lab.where("doc_id % 3 <> 0"))
@@ -243,6 +410,23 @@ def test_pii_held_out():
         assert m.spans(clean) == []
 
 
+def test_chosen_spans_by_brute_force():
+    """spans(): of what the trees let pass, the most probable first, and no span that meets one chosen before."""
+    m, r = pii.model(), random.Random(21)
+    for _ in range(60):
+        text = " ".join("".join((pii._personal if r.random() < 0.6 else pii._harmless)(r)) + r.choice([" ", ", ", "\n", "=", "@"]) for _ in range(r.randint(1, 12)))
+        scored = []
+        for c in pii.candidates(text):
+            p = float(m.probability(m.trees.decision(np.array([pii.describe(text, c)], float)))[0])
+            if p >= m.at[pii.KINDS.index(c[2])]:
+                scored.append((-round(p, 3), c[0] - c[1], c[0], c[2], c[1]))
+        taken = []
+        for _, _, a, kind, z in sorted(scored):
+            if all(z <= x or y <= a for x, y, _ in taken):
+                taken.append((a, z, kind))
+        assert m.spans(text) == sorted(taken)
+
+
 def test_overlapping_candidates():
     text = "mail bob.smith77@example.org, or token = ghp_abcdef0123456789abcdefABCDEF9876"
     spans = pii.model().spans(text)
@@ -269,6 +453,65 @@ def test_chat_links(spark):
     assert out.json == json.dumps(json.loads(out.json), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
 
 
+def brute_conversation(turns):
+    """Order and counts of a conversation of (role, text), as told in chat's docstring, step by step."""
+    load = lambda t: x if t.lstrip()[:1] == "{" and isinstance(x := _json(t), dict) else None
+    nodes = [(role, text, load(text)) for role, text in turns]
+    calls = [[c for c in x["tool_calls"] if isinstance(c, dict)] if role == "assistant" and x and isinstance(x.get("tool_calls"), list) else [] for role, _, x in nodes]
+    answer = [x["tool_call_id"] if role == "tool" and x and isinstance(x.get("tool_call_id"), str) else None for role, _, x in nodes]
+    call_of = lambda i: next((k for k, cs in enumerate(calls) if any(c.get("id") == i for c in cs)), None)
+    result_of = lambda i: next((k for k, a in enumerate(answer) if a == i), None)
+    needs = []
+    for k in range(len(nodes)):
+        need = {call_of(answer[k])} if answer[k] is not None else set()
+        need |= {result_of(v[1:]) for c in calls[k] for v in c["arguments"].values() if isinstance(v, str) and v[:1] == "$"}
+        needs.append(need - {None})
+    done, cyclic = [], 0
+    while len(done) < len(nodes):
+        left = [k for k in range(len(nodes)) if k not in done]
+        free = [k for k in left if needs[k] <= set(done)]
+        cyclic += not free
+        done.append((free or left)[0])
+    every = [c for cs in calls for c in cs]
+    linked = sum(k == result_of(a) and call_of(a) is not None for k, a in enumerate(answer) if a is not None)
+    return done, (len(every), linked, sum(result_of(c.get("id")) is None for c in every), sum(call_of(a) is None for a in answer if a is not None), cyclic)
+
+
+def _json(t):
+    try:
+        return json.loads(t)
+    except ValueError:
+        return None
+
+
+def test_conversations_by_brute_force(spark):
+    r = random.Random(31)
+    rows, want = [], {}
+    for conv in range(120):
+        turns = []
+        for k in range(r.randint(1, 9)):
+            ref = lambda: r.choice([f"$c{r.randrange(4)}", "$none", 3, "x"])
+            turns.append(r.choice([
+                ("user", f"text {k}"), ("assistant", "{broken"), ("tool", f'{{"tool_call_id": "c{r.randrange(5)}", "content": "{k}"}}'), ("tool", f' {{"tool_call_id": "c{r.randrange(4)}", "content": "{k}"}}'),
+                ("assistant", json.dumps({"content": str(k), "tool_calls": [{"id": f"c{r.randrange(4)}", "name": "f", "arguments": {"a": ref()}} for _ in range(r.randint(0, 3))]})),
+            ]))
+        rows += [(conv, k, role, text) for k, (role, text) in enumerate(turns)]
+        want[conv] = turns, *brute_conversation(turns)
+    assert sum(w[2][4] for w in want.values()) > 0 and sum(w[2][1] for w in want.values()) > 50
+    r.shuffle(rows)
+    for out in chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect():
+        turns, order, counts = want[out.conv_id]
+        assert (out.n_calls, out.n_linked, out.n_unanswered, out.n_orphans, out.n_cyclic) == counts
+        told = [(m["role"], m["content"], m.get("tool_call_id"), [c["id"] for c in m.get("tool_calls", [])]) for m in json.loads(out.json)["messages"]]
+        plain = []
+        for k in order:
+            role, text = turns[k]
+            x = _json(text)
+            x = x if isinstance(x, dict) else None
+            plain.append((role, x.get("content", "") if x else text, x.get("tool_call_id") if x else None, [c["id"] for c in x.get("tool_calls", [])] if x else []))
+        assert told == plain
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql(spark, sf, name):
     con = duckdb.connect()
@@ -283,6 +526,18 @@ def test_sql(spark, sf, name):
     assert sorted(map(tuple, df.collect()), key=repr) == want
 
 
+def test_points_of_high_slots(spark):
+    slots = [0, 1, 2, 65535, 65536, 3_470_000_000, 1 << 32, (1 << 32) + 5, 1 << 45, (1 << 62) + 12345]
+    got = spark.createDataFrame([(s,) for s in slots], "slot long").select(mixing.point(F.col("slot"))).collect()
+    assert [x[0] for x in got] == [s * mixing.GOLDEN % (1 << 32) for s in slots]
+
+
+def test_mixing_to_a_budget(spark, sf):
+    docs = table(spark, sf, "documents")
+    whole, part = mixing.mix(docs), mixing.mix(docs, tokens=10 * mixing.BLOCK_TOKENS - 1)
+    assert sorted(part.collect()) == sorted(whole.where("slot < 10").collect())
+
+
 def test_mixing_meets_its_weights(spark, sf):
     docs = table(spark, sf, "documents")
     weights = {r[0]: 1 + i for i, r in enumerate(sorted(docs.select("source").distinct().collect()))}

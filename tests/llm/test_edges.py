@@ -42,8 +42,10 @@ def labels(spark, data=((1, 1, 0), (5, 0, None), (None, 1, 1), (2, None, 1))):
 
 
 OPS = {
-    "lines": lambda s, d: substring_dedup.dedup(d),
+    "passages": lambda s, d: substring_dedup.dedup(d),
+    "lines": lambda s, d: substring_dedup.dedup(d, substring_dedup.lines),
     "jaccard": lambda s, d: jaccard_join.join(d),
+    "classes": lambda s, d: jaccard_join.classes(d),
     "suffix": lambda s, d: suffix_dedup.repeats(d),
     "decontaminate": lambda s, d: decontaminate.matches(d, bench(s)),
     "pii": lambda s, d: pii.redacted(d),
@@ -64,7 +66,7 @@ def test_empty_table(spark, empty, name):
 
 
 def test_lines(spark, docs):
-    got = rows(substring_dedup.dedup(docs).select("doc_id", "n_removed", "removed"))
+    got = rows(substring_dedup.dedup(docs, substring_dedup.lines).select("doc_id", "n_removed", "removed"))
     n = len(A)
     # the twins of doc 1 tie and keep what they have; doc 2 and the null id come later
     assert got.count((1, 0, "")) == 2
@@ -73,8 +75,26 @@ def test_lines(spark, docs):
     assert (5, 0, "") in got and (3, 0, "") in got and (4, 0, "") in got
 
 
-def test_jaccard(docs):
+def test_passages(spark, docs):
+    got = rows(substring_dedup.dedup(docs).select("doc_id", "text", "removed"))
+    assert got.count((1, A + "\n" + B, "")) == 2  # the twins tie
+    # doc 2 is a document of 26 words, one unit, and goes; the texts with null id tie, too, and are one of another text
+    assert (2, "", f"0-{len(A) + 1 + len(B)}") in got and got.count((None, A, "")) == 2
+    assert (5, LONG, "") in got and (3, "", "") in got and (6, "!!! ...", "") in got
+    long = "; ".join([A, B, A + " again"])
+    d = spark.createDataFrame([(None, long + "."), (None, "Lead. " + long), (7, None), (8, "Start, " + long + "! End")], "doc_id long, text string")
+    assert rows(substring_dedup.dedup(d).select("doc_id", "text")) == sorted([(None, ""), (None, "Lead. "), (7, ""), (8, "Start, " + long + "! End")], key=repr)
+
+
+def test_jaccard(spark, docs):
     assert rows(jaccard_join.join(docs)) == [(1, 2, 1.0)]
+    # a row for each document with an id: (doc_id, text) that repeats is one, texts without words are alone
+    got = rows(jaccard_join.classes(docs).drop("row_key"))
+    assert got == [(1, 1, 1), (2, 1, 1), (3, 3, 0), (4, 4, 0), (5, 5, 0), (6, 6, 0)]
+    # an id with two texts is two documents, of which the pipeline's stage drops one
+    d = spark.createDataFrame([(5, A), (5, B), (3, B + "!"), (None, B)], "doc_id long, text string")
+    assert rows(jaccard_join.classes(d).drop("row_key")) == [(3, 3, 1), (5, 3, 1), (5, 5, 0)]
+    assert rows(jaccard_join.stage(spark, d, "")) == sorted([(5, A), (3, B + "!"), (None, B)], key=repr)
 
 
 def test_suffix(spark):
@@ -133,10 +153,15 @@ def test_stages_keep_columns(spark, wide, sf):
 def test_neighbours(spark):
     v = lambda *x: [float(t) for t in x]
     data = [(1, v(0, 0)), (1, v(0, 0)), (2, v(1, 0)), (3, v(0, 1)), (None, v(0, 0)), (4, None), (5, v(1)), (6, v(float("nan"), 0)), (7, [None, 1.0]), (8, [])]
-    got = rows(ann.neighbours(spark.createDataFrame(data, "vec_id long, embedding array<float>"), 2))
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    got = rows(ann.neighbours(df, 2, 1))
+    from pyspark.sql import functions as F
+
+    wide = df.select("*", *[F.lit("x").alias(c) for c in ("x", "codes", "norm", "error", "along", "b", "bound", "rank", "distance", "neighbour_id", "d", "count")])
+    assert rows(ann.neighbours(wide, 2, 1)) == got and ann.neighbours(df, 2).count() == 0  # no id is divisible by 50
     assert got == sorted([(1, 2, 1, 1.0), (1, 3, 2, 1.0), (2, 1, 1, 1.0), (2, 3, 2, 1.414214), (3, 1, 1, 1.0), (3, 2, 2, 1.414214)], key=repr)
     assert ann.neighbours(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
-    assert ann.neighbours(spark.createDataFrame([(1, v(2, 2))], "vec_id long, embedding array<float>")).count() == 0
+    assert ann.neighbours(spark.createDataFrame([(50, v(2, 2))], "vec_id long, embedding array<float>")).count() == 0
 
 
 def test_chat_edges(spark):
@@ -146,3 +171,12 @@ def test_chat_edges(spark):
     assert set(got) == {1, 2} and got[2].n_messages == 1 and len(got[2].json) > 300_000
     assert got[1].json == '{"messages":[{"content":"","role":"user"},{"content":"{broken","role":"assistant"},{"content":"b","role":"user"},{"content":"b","role":"user"}]}'
     assert chat.formatted(spark.createDataFrame([], c.schema)).count() == 0
+    from pyspark.sql import functions as F
+
+    wide = c.select("*", *[F.lit("x").alias(x) for x in ("seq", "id", "calls", "call_at", "result_at", "linked", "turns", "json")])
+    assert rows(chat.formatted(wide)) == rows(chat.formatted(c))
+
+
+def test_stages_on_an_empty_table(spark, empty, sf):
+    for stage in (langid.stage, jaccard_join.stage, decontaminate.stage, pii.stage, mixing.stage):
+        assert stage(spark, empty, sf).count() == 0
