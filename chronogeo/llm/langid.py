@@ -10,17 +10,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, table, tidied
+from .common import arrow_map, cut, table, tidied
 from .textkit import buffer_of, pieces
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 DIM = 6
-#: labelled documents per language that the network is fitted on (a bounded sample, by the hash of doc_id)
+#: labelled documents per language that the network is fitted on (a bounded sample, by the hash of doc_id), and the windows of
+#: each, spread evenly over its text, that it is fitted on (inference reads all windows)
 FIT_DOCS = 300
 FIT_WINDOWS = 4
 #: a text is rejected below this mean probability of its best language
@@ -136,26 +137,38 @@ class Tables:
         return z - np.log(np.exp(z).sum(1, keepdims=True))
 
 
+def sample(docs: DataFrame) -> DataFrame:
+    """(lang, doc_id, windows) of FIT_DOCS documents of each language: those of the least hashes, picked by their ids alone, then cut
+    to FIT_WINDOWS windows where they are, so that neither texts nor each task's candidates go to the driver."""
+    text_key = F.xxhash64("text")
+    rows = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and length(text) > 0 and doc_id is not null")
+    ids = rows.select("lang", "doc_id", text_key.alias("text_key")).distinct()
+    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text_key")
+    pick = cut(ids.withColumn("r", F.row_number().over(w)).where(F.col("r") <= FIT_DOCS).drop("r"))
+    # FIT_DOCS rows a language, whose number is that of the network's classes
+    some = rows.withColumn("text_key", text_key).join(F.broadcast(pick), ["lang", "doc_id", "text_key"])
+
+    def run(b: pa.RecordBatch):
+        data, off = buffer_of(b.column("text"))
+        doc, lo, hi = cuts(off)
+        n = np.bincount(doc, minlength=len(off) - 1)
+        turn = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+        # window t of n is the first of one of FIT_WINDOWS equal parts
+        keep = np.flatnonzero((turn * FIT_WINDOWS % n[doc] < FIT_WINDOWS) | (n[doc] <= FIT_WINDOWS))
+        x = windows(data, lo[keep], hi[keep])
+        parts = np.searchsorted(doc[keep], np.arange(len(off)))
+        yield pa.record_batch({"lang": b.column("lang"), "doc_id": b.column("doc_id"), "text_key": b.column("text_key"), "windows": pa.array([x[a:z].tobytes() for a, z in zip(parts, parts[1:])], pa.binary())})
+
+    return arrow_map(some, run, "lang string, doc_id long, text_key long, windows binary").dropDuplicates(["lang", "doc_id", "text_key"])
+
+
 def train(docs: DataFrame, steps: int = 500, batch: int = 96, rate: float = 0.01) -> Net:
     """Fits a network to the languages in docs.lang; rows without language or text are left out."""
-    rows = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and length(text) > 0 and doc_id is not null")
-    names = sorted(r[0] for r in rows.select("lang").distinct().collect())
+    rows = sample(docs).toPandas().sort_values(["lang", "doc_id", "text_key"])
+    names = sorted(rows["lang"].unique())
     net = Net(names or ["und"])
     r = np.random.default_rng(11)
-    xs, ys = [], []
-    for k, name in enumerate(names):
-        some = rows.where(F.col("lang") == name).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(FIT_DOCS).select("text").toPandas()
-        data, off = buffer_of(pa.array(some["text"], pa.string()))
-        doc, lo, hi = cuts(off)
-        order = r.permutation(len(doc))
-        doc_of = doc[order]
-        turn = np.zeros(len(doc), np.int64)
-        srt = np.argsort(doc_of, kind="stable")
-        first = np.searchsorted(doc_of[srt], np.arange(len(off) - 1))
-        turn[srt] = np.arange(len(doc)) - first[doc_of[srt]]
-        keep = order[turn < FIT_WINDOWS]
-        xs.append(windows(data, lo[keep], hi[keep]))
-        ys.append(np.full(len(keep), k))
+    xs = [np.frombuffer(b"".join(rows["windows"][rows["lang"] == name]), np.uint8).reshape(-1, WINDOW) for name in names]
     if len(names) < 2:
         return net
     groups, state = xs, {}
