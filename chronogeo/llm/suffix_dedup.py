@@ -8,7 +8,8 @@ LENGTH - WINDOW + 1 of its words to the right.
 1. Suffixes are keyed by their first LENGTH - WINDOW + 1 words; keys that occur once end here.
 2. The others come back with the WINDOW - 1 words on either side.  One task per key range sorts them, compares
    neighbours (the longest common prefix), and extends the matches left: every passage of LENGTH words at any offset
-   around the suffix is compared, so the result is that of the full suffix array.
+   around the suffix is compared, so the result is that of the full suffix array.  Of suffixes with the same words around
+   them a task sends the first alone; the others follow it, and take their result from its.
 3. Passages that occur earlier, by (doc_id, position), are joined into maximal spans.
 """
 
@@ -27,6 +28,8 @@ WINDOW = 24
 K = 4
 RIGHT = LENGTH - WINDOW + 1
 SIDE = WINDOW - 1
+#: suffixes, and suffixes with the words around them, that a task holds before it reduces them and sends them on
+HELD, HELD_AROUND = 4_000_000, 200_000
 
 
 def minimisers(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -65,34 +68,64 @@ def _docs(docs: DataFrame) -> DataFrame:
 
 
 def recurring(docs: DataFrame, buckets: int) -> DataFrame:
-    """(u, pos) of the retained suffixes whose key occurs more than once."""
+    """(u, pos) of the retained suffixes whose key occurs more than once.
 
-    def emit(b: pa.RecordBatch):
-        data, off = buffer_of(b.column("text"))
-        u = np.asarray(b.column("u"))
-        for first, last in pieces(off):
-            w = Words(data, off, first, last)
-            start, key = minimisers(w)
-            doc = np.searchsorted(w.bounds, start, side="right") - 1
-            yield pa.record_batch({"key": signed(np.ascontiguousarray(key)), "u": i64(u[first + doc]), "pos": pa.array((start - w.bounds[doc]).astype(np.int32))})
+    A task that meets a key again knows that it recurs: those suffixes are told at once, and one row of the key goes on, so
+    that a passage in a third of all documents is a row a task.
+    """
+
+    def rows(key, u, pos, k, kind):
+        return pa.record_batch({"k": i64(k), "kind": pa.array(np.full(len(u), kind, np.int32)), "key": i64(key), "u": i64(u), "pos": pa.array(pos.astype(np.int32))})
+
+    def told(key, u, pos):
+        key, u, pos = key.view(np.int64), u, pos
+        order = np.argsort(key, kind="stable")
+        key, u, pos = key[order], u[order], pos[order]
+        new = np.append(True, key[1:] != key[:-1])[: len(key)]
+        first = np.flatnonzero(new)
+        many = np.diff(np.append(first, len(key))) > 1
+        alone, lead, more = first[~many], first[many], np.repeat(many, np.diff(np.append(first, len(key))))
+        for at, kind in ((alone, 0), (lead, 1)):
+            yield rows(key[at], u[at], pos[at], key[at], kind)
+        yield rows(key[more], u[more], pos[more], mix(u[more].view(np.uint64)).view(np.int64), 2)
+
+    def emit(it):
+        held, n = [], 0
+        for b in it:
+            data, off = buffer_of(b.column("text"))
+            u = np.asarray(b.column("u"))
+            for first, last in pieces(off):
+                w = Words(data, off, first, last)
+                start, key = minimisers(w)
+                doc = np.searchsorted(w.bounds, start, side="right") - 1
+                held.append((key, u[first + doc], start - w.bounds[doc]))
+                n += len(key)
+                if n > HELD:
+                    yield from told(*map(np.concatenate, zip(*held)))
+                    held, n = [], 0
+        if n:
+            yield from told(*map(np.concatenate, zip(*held)))
 
     def keep(it):
-        key, u, pos = [], [], []
+        cols = {k: [] for k in ("kind", "key", "u", "pos")}
         for b in it:
-            key.append(np.asarray(b.column("key")))
-            u.append(np.asarray(b.column("u")))
-            pos.append(np.asarray(b.column("pos")))
-        if not key:
+            for k in cols:
+                cols[k].append(np.asarray(b.column(k)))
+        if not cols["key"]:
             return
-        key, u, pos = map(np.concatenate, (key, u, pos))
-        order = np.argsort(key, kind="stable")
+        kind, key, u, pos = map(np.concatenate, cols.values())
+        known = kind == 2
+        at = np.flatnonzero(~known)
+        order = at[np.argsort(key[at], kind="stable")]
         k = key[order]
-        same = np.concatenate([[False], k[1:] == k[:-1]])
-        more = order[same | np.concatenate([same[1:], [False]])[: len(k)]]
+        first = np.flatnonzero(np.append(True, k[1:] != k[:-1])[: len(k)])
+        n = np.diff(np.append(first, len(k)))
+        again = np.repeat((n > 1) | (np.maximum.reduceat(kind[order], first) == 1 if len(first) else n > 1), n)
+        more = np.concatenate([np.flatnonzero(known), order[again & (kind[order] == 0)]])
         yield pa.record_batch({"u": i64(u[more]), "pos": pa.array(pos[more])})
 
-    rows = arrow_map(_docs(docs).select("u", "text"), emit, "key long, u long, pos int")
-    return rows.repartition(buckets, "key").mapInArrow(tidied(keep), "u long, pos int")
+    sent = _docs(docs).select("u", "text").mapInArrow(tidied(emit), "k long, kind int, key long, u long, pos int")
+    return sent.repartition(buckets, "k").mapInArrow(tidied(keep), "u long, pos int")
 
 
 def _around(tok: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -104,8 +137,9 @@ def _around(tok: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
     return x.astype(">u4")
 
 
-def match(key: np.ndarray, ident: np.ndarray, pos: np.ndarray, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each suffix, bit l of its mask: the passage that starts l words before it occurs earlier; and the least id of such."""
+def match(key: np.ndarray, ident: np.ndarray, pos: np.ndarray, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each suffix, bit l of its mask: the passage that starts l words before it occurs earlier; and the least id of such.
+    Then the same of a later suffix with the same words around it: for that every passage that is one occurs earlier."""
     n = len(key)
     right = ctx[:, SIDE:]
     view = np.ascontiguousarray(right).view(f"S{4 * SIDE}")[:, 0]
@@ -116,7 +150,7 @@ def match(key: np.ndarray, ident: np.ndarray, pos: np.ndarray, ctx: np.ndarray)
     differ = np.concatenate([(right[1:] != right[:-1]) | (right[1:] == 0), np.ones((max(n - 1, 0), 1), bool)], 1)
     lcp = np.concatenate([[-1], np.where(key[1:] == key[:-1], differ.argmax(1), -1)])[:n]
     _, rank = np.unique(np.rec.fromarrays([ident, pos]), return_inverse=True)
-    mask, least = np.zeros(n, np.int64), np.full(n, NULL_ID)
+    mask, least, whole, lowest = np.zeros(n, np.int64), np.full(n, NULL_ID), np.zeros(n, np.int64), np.full(n, NULL_ID)
     back = np.zeros(n, np.uint64)
     has = np.ones(n, bool)
     for l in range(WINDOW):
@@ -126,7 +160,8 @@ def match(key: np.ndarray, ident: np.ndarray, pos: np.ndarray, ctx: np.ndarray)
             has &= left[:, l - 1] != 0
         e = SIDE - l
         rows = np.flatnonzero(has & ((right[:, e - 1] != 0) if e else np.ones(n, bool)))
-        if len(rows) < 2:
+        whole[rows] |= 1 << l
+        if len(rows) == 0:
             continue
         run = np.cumsum(lcp < e)[rows].astype(np.uint64)
         with np.errstate(over="ignore"):
@@ -139,9 +174,10 @@ def match(key: np.ndarray, ident: np.ndarray, pos: np.ndarray, ctx: np.ndarray)
         hit = rank[r] > rank[first]
         mask[r[hit]] |= 1 << l
         least[r[hit]] = np.minimum(least[r[hit]], ident[first[hit]])
-    out, low = np.empty(n, np.int64), np.empty(n, np.int64)
-    out[order], low[order] = mask, least
-    return out, low
+        lowest[r] = np.minimum(lowest[r], ident[first])
+    out = np.empty((4, n), np.int64)
+    out[:, order] = mask, least, whole, lowest
+    return tuple(out)
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -160,40 +196,96 @@ def repeats(docs: DataFrame) -> DataFrame:
     size = again.agg(F.count("*"), F.sum(F.size("at"))).first()
     found = d.join(small(again, 1, 40 * size[0] + 4 * (size[1] or 0)), "u")
 
-    def fetch(b: pa.RecordBatch):
-        data, off = buffer_of(b.column("text"))
-        ids, us, at = np.asarray(b.column("id")), np.asarray(b.column("u")), b.column("at")
-        flat, ab = np.asarray(at.flatten()), np.asarray(at.offsets)
-        ab = ab - ab[0]
-        for first, last in pieces(off):
-            w = Words(data, off, first, last)
-            n = np.diff(ab[first : last + 1])
-            doc = np.repeat(np.arange(last - first), n)
-            p = flat[ab[first] : ab[last]].astype(np.int64)
-            start = w.bounds[doc] + p
-            key, where = w.grams(RIGHT)
-            k = key[np.searchsorted(where, start)] if len(start) else np.zeros(0, np.uint64)
-            tok = np.maximum((w.hash >> np.uint64(32)).astype(np.uint32), 1)
-            for a in range(0, len(start), 20_000):
-                z = slice(a, a + 20_000)
-                x = _around(tok, w.bounds, start[z])
-                yield pa.record_batch({"key": signed(np.ascontiguousarray(k[z])), "id": i64(ids[first + doc[z]]), "u": i64(us[first + doc[z]]), "pos": pa.array(p[z].astype(np.int32)), "ctx": pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * SIDE), len(x), [None, pa.py_buffer(x.tobytes())]).cast(pa.binary())})
+    def around(it):
+        """Leaders, with the words around them, and followers."""
+
+        def parted(key, ident, u, pos, ctx):
+            h = [np.zeros(len(key), np.uint64), np.zeros(len(key), np.uint64)]
+            words = ctx.astype(np.uint64)
+            with np.errstate(over="ignore"):
+                for k in range(ctx.shape[1]):
+                    h = [mix(x * np.uint64(0xD1342543DE82EF95) + words[:, k] + np.uint64(c)) for x, c in zip(h, (1, 77))]
+            order = np.lexsort((u, pos, ident, h[1], h[0], key))
+            key, ident, u, pos, ctx, h = key[order], ident[order], u[order], pos[order], ctx[order], [x[order] for x in h]
+            new = np.append(True, (key[1:] != key[:-1]) | (h[0][1:] != h[0][:-1]) | (h[1][1:] != h[1][:-1]))[: len(key)]
+            twin = np.append(False, ~new[1:] & (u[1:] == u[:-1]) & (pos[1:] == pos[:-1]))[: len(key)]  # of a repeated row
+            first = np.flatnonzero(new)[np.cumsum(new) - 1]
+            f = np.flatnonzero(~new & ~twin)
+            lead = np.flatnonzero(new)
+            none = pa.nulls(len(f), pa.binary())
+            tie = (ident[f] == ident[first[f]]) & (pos[f] == pos[first[f]])
+            spread = mix(u[f].view(np.uint64) + pos[f].astype(np.uint64)).view(np.int64)
+            row = lambda k, at, to, tie, body: pa.record_batch({"k": i64(k), "key": i64(key[at].view(np.int64)), "id": i64(ident[at]), "u": i64(u[at]), "pos": pa.array(pos[at].astype(np.int32)), "lead_u": i64(u[to]), "lead_pos": pa.array(pos[to].astype(np.int32)), "tie": pa.array(tie), "ctx": body})
+            for z in range(0, len(lead), 20_000):
+                at = lead[z : z + 20_000]
+                body = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * SIDE), len(at), [None, pa.py_buffer(np.ascontiguousarray(ctx[at]).tobytes())]).cast(pa.binary())
+                yield row(key[at].view(np.int64), at, at, np.zeros(len(at), bool), body)
+            if len(f):
+                yield row(spread, f, first[f], tie, none)
+
+        held, n = [], 0
+        for b in it:
+            data, off = buffer_of(b.column("text"))
+            ids, us, at = np.asarray(b.column("id")), np.asarray(b.column("u")), b.column("at")
+            flat, ab = np.asarray(at.flatten()), np.asarray(at.offsets)
+            ab = ab - ab[0]
+            for first, last in pieces(off):
+                w = Words(data, off, first, last)
+                m = np.diff(ab[first : last + 1])
+                doc = np.repeat(np.arange(last - first), m)
+                p = flat[ab[first] : ab[last]].astype(np.int64)
+                start = w.bounds[doc] + p
+                key, where = w.grams(RIGHT)
+                k = key[np.searchsorted(where, start)] if len(start) else np.zeros(0, np.uint64)
+                tok = np.maximum((w.hash >> np.uint64(32)).astype(np.uint32), 1)
+                for a in range(0, len(start), HELD_AROUND):
+                    z = slice(a, a + HELD_AROUND)
+                    held.append((k[z], ids[first + doc[z]], us[first + doc[z]], p[z], _around(tok, w.bounds, start[z])))
+                    n += len(k[z])
+                    if n > HELD_AROUND:
+                        yield from parted(*map(np.concatenate, zip(*held)))
+                        held, n = [], 0
+        if n:
+            yield from parted(*map(np.concatenate, zip(*held)))
 
     def compare(it):
-        cols = {k: [] for k in ("key", "id", "u", "pos", "ctx")}
+        cols = {k: [] for k in ("key", "id", "u", "pos", "lead_u", "lead_pos", "tie", "ctx")}
+        leads = []
         for b in it:
+            leads.append(np.asarray(b.column("ctx").is_valid()))
             for k in cols:
-                cols[k].append(buffer_of(b.column(k))[0] if k == "ctx" else np.asarray(b.column(k)))
-        if not cols["key"]:
+                cols[k].append(buffer_of(b.column(k))[0] if k == "ctx" else b.column(k).to_numpy(zero_copy_only=False))
+        if not leads:
+            return
+        c, lead = {k: np.concatenate(v) for k, v in cols.items()}, np.concatenate(leads)
+        ctx = c.pop("ctx").view(">u4").reshape(-1, 2 * SIDE)
+        found = np.zeros((4, len(lead)), np.int64)
+        found[:, lead] = match(c["key"][lead], c["id"][lead], c["pos"][lead], ctx)
+        yield pa.record_batch({"lead": pa.array(lead), **{k: pa.array(c[k]) for k in ("u", "pos", "lead_u", "lead_pos", "tie")}, **{k: i64(v) for k, v in zip(("mask", "least", "whole", "lowest"), found)}})
+
+    def follow(it):
+        """Marks of leaders, and of their followers."""
+        cols = {k: [] for k in ("lead", "u", "pos", "lead_u", "lead_pos", "tie", "mask", "least", "whole", "lowest")}
+        for b in it:
+            for k in cols:
+                cols[k].append(b.column(k).to_numpy(zero_copy_only=False))
+        if not cols["u"]:
             return
         c = {k: np.concatenate(v) for k, v in cols.items()}
-        ctx = c["ctx"].view(">u4").reshape(-1, 2 * SIDE)
-        mask, least = match(c["key"], c["id"], c["pos"], ctx)
+        order = np.lexsort((~c["lead"], c["lead_pos"], c["lead_u"]))
+        c = {k: v[order] for k, v in c.items()}
+        new = np.append(True, (c["lead_u"][1:] != c["lead_u"][:-1]) | (c["lead_pos"][1:] != c["lead_pos"][:-1]))
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]  # the leader
+        same = c["lead"] | c["tie"]
+        mask = np.where(same, c["mask"][first], c["whole"][first])
+        least = np.where(same, c["least"][first], c["lowest"][first])
         hit = mask > 0
         yield pa.record_batch({"u": i64(c["u"][hit]), "pos": pa.array(c["pos"][hit]), "mask": i64(mask[hit]), "least": i64(least[hit])})
 
-    near = arrow_map(found.select("id", "u", "text", "at"), fetch, "key long, id long, u long, pos int, ctx binary")
-    marks = near.repartition(buckets, "key").mapInArrow(tidied(compare), "u long, pos int, mask long, least long")
+    at = "u long, pos int, lead_u long, lead_pos int, tie boolean"
+    near = found.select("id", "u", "text", "at").mapInArrow(tidied(around), f"k long, key long, id long, {at}, ctx binary")
+    compared = near.repartition(buckets, "k").mapInArrow(tidied(compare), f"lead boolean, {at}, mask long, least long, whole long, lowest long")
+    marks = compared.repartition(buckets, "lead_u", "lead_pos").mapInArrow(tidied(follow), "u long, pos int, mask long, least long")
 
     def islands(it):
         cols = {k: [] for k in ("u", "pos", "mask", "least")}

@@ -259,7 +259,7 @@ def brute_spans(rows):
     return sorted((i, a, z, e - s, src) for i, s, e, src, a, z in out)
 
 
-def test_suffix_array_is_exact(spark):
+def test_suffix_array_is_exact(spark, monkeypatch):
     r = random.Random(5)
     passages = [" ".join(f"p{k}q{r.randrange(40)}" for _ in range(r.randint(50, 120))) for k in range(8)]
     rows = []
@@ -271,8 +271,13 @@ def test_suffix_array_is_exact(spark):
             parts += [" ".join(w[a : len(w) - r.randint(0, 20)]), "é, " * r.randint(0, 2) + " ".join(f"u{r.randrange(10**6)}" for _ in range(r.randint(0, 30)))]
         rows.append((i, ". ".join(parts)))
     rows.append((99, "same word " * 200))
-    got = sorted(map(tuple, suffix_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
-    assert len(got) > 20 and got == brute_spans(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # many tasks or one, which holds all its suffixes or few: more or fewer of them follow others
+    for held, parts in ((suffix_dedup.HELD, 4), (suffix_dedup.HELD, 1), (40, 2)):
+        monkeypatch.setattr(suffix_dedup, "HELD", held)
+        monkeypatch.setattr(suffix_dedup, "HELD_AROUND", min(held, 200_000))
+        got = sorted(map(tuple, suffix_dedup.repeats(df.repartition(parts)).collect()))
+        assert len(got) > 20 and got == brute_spans(rows)
 
 
 def test_neighbours_recall(spark, sf):
