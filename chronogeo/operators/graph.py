@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,12 +18,14 @@ def type_closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """
     best = lambda d: d.groupBy("node").agg(F.min("priority").alias("priority"))
     e = cut(edges.where("child is not null and parent is not null").distinct())
-    frontier = seen = cut(best(roots))
-    while not frontier.isEmpty():
-        found = best(e.join(frontier, F.col("parent") == F.col("node")).select(F.col("child").alias("node"), "priority"))
-        old = seen.select("node", F.col("priority").alias("_old"))
-        frontier = cut(found.join(old, "node", "left").where("_old is null or priority < _old").select("node", "priority"))
-        seen = cut(best(seen.union(frontier)))
+    frontiers = [cut(best(roots))]
+    while not frontiers[-1].isEmpty():
+        found = best(e.join(frontiers[-1], F.col("parent") == F.col("node")).select(F.col("child").alias("node"), "priority"))
+        # what is known stays where it was written, round by round; only the new frontier is
+        known = reduce(DataFrame.union, frontiers).select("node", F.col("priority").alias("_old"))
+        better = found.join(known, (found["node"] == known["node"]) & (F.col("_old") <= F.col("priority")), "left_anti")
+        frontiers.append(cut(better))
+    seen = best(reduce(DataFrame.union, frontiers))
     names = roots.select("priority", "category").distinct()
     first = Window.partitionBy("priority").orderBy("category")
     names = names.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
