@@ -68,17 +68,23 @@ def parse_date(c: Column) -> Column:
     """struct(lo, hi, precision) of a partial or human date; nulls where it cannot be read.
 
     Read are '1871', '1871-10', '1871-10-08' (and anything that begins so), 'October 8, 1871', 'October 1871'.  A month or
-    day of 00 makes the date coarser; so does a month's name that is unknown.
+    day of 00 makes the date coarser; so does a month's name that is unknown.  Where none of these fits, days are read as
+    '8 October 1871', 'Sun, 08 Oct 1871 00:00:00 GMT' (months by their first three letters) and '10/8/1871' (month first).
     """
     s = trimmed(c)
     iso = r"^([0-9]{3,4})(?:-([0-9]{2}))?(?:-([0-9]{2}))?"
     human = r"^([A-Za-z]+)\s+(?:([0-9]{1,2}),?\s+)?([0-9]{3,4})$"
+    day_first = r"^(?:[A-Za-z]{3,9},?\s+)?([0-9]{1,2})[ -]([A-Za-z]{3,9})[ ,-]+([0-9]{4})(?:\s+[0-9]{1,2}:[0-9]{2}.*)?$"
+    slashes = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
     is_iso, is_human = s.rlike(iso), s.rlike(human)
+    is_day_first, is_slashes = s.rlike(day_first), s.rlike(slashes)
+    short = F.nullif(F.array_position(F.array(*[F.lit(m[:3].lower()) for m in MONTHS]), F.lower(F.substring(F.regexp_extract(s, day_first, 2), 1, 3))).cast("int"), F.lit(0))
     num = lambda rx, k: F.regexp_extract(s, rx, k).try_cast("int")
     named = F.array_position(F.array(*[F.lit(m.lower()) for m in MONTHS]), F.lower(F.regexp_extract(s, human, 1))).cast("int")
-    y = F.when(is_iso, num(iso, 1)).when(is_human, num(human, 3))
-    m = F.when(is_iso, F.coalesce(num(iso, 2), F.lit(0))).otherwise(named)
-    d = F.when(is_iso, F.coalesce(num(iso, 3), F.lit(0))).otherwise(F.coalesce(num(human, 2), F.lit(0)))
+    sm, sd = num(slashes, 1), num(slashes, 2)
+    y = F.when(is_iso, num(iso, 1)).when(is_human, num(human, 3)).when(is_day_first & short.isNotNull() & num(day_first, 1).between(1, 31), num(day_first, 3)).when(is_slashes & sm.between(1, 12) & sd.between(1, 31), num(slashes, 3))
+    m = F.when(is_iso, F.coalesce(num(iso, 2), F.lit(0))).when(is_human, named).when(is_day_first, short).otherwise(sm)
+    d = F.when(is_iso, F.coalesce(num(iso, 3), F.lit(0))).when(is_human, F.coalesce(num(human, 2), F.lit(0))).when(is_day_first, num(day_first, 1)).otherwise(sd)
 
     def span(v: Column) -> Column:
         y, m, d = v["y"], v["m"], v["d"]

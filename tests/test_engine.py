@@ -34,6 +34,12 @@ def test_dates(spark):
     ]
 
 
+def test_dates_of_other_forms(spark):
+    got = one(spark, C.parse_date, "8 October 1871", "08 Oct 1871", "Sun, 08 Oct 1871 00:00:00 GMT", "10/8/1871", "13/8/1871", "8 Foo 1871", "40 October 1871", " 8-Oct-1871 ", "10/8/71")
+    day = ("1871-10-08", "1871-10-08", "day")
+    assert [tuple(r) if r and r.lo else None for r in got] == [day, day, day, day, None, None, None, day, None]
+
+
 def test_identifiers(spark):
     assert one(spark, C.hash36, "19th century")[0] == "lz306o"
     assert slug_of("Zürich: a Fair!") == "zu-rich-a-fair"
