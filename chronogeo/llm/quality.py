@@ -1,7 +1,7 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
-P(grade <= k) = sigmoid(theta_k - w.x) with one weight vector w over hashed text features, shared by all grades, and
-increasing thresholds theta_0 < theta_1.  The fitted model gives each document its expected grade and the tail
+P(grade <= k) = sigmoid(theta_k - w.x) with one weight vector w over hashed text features (words, beginnings of words, so
+that inflected and compounded forms count together, and the text's shape), shared by all grades, and increasing thresholds theta_0 < theta_1.  The fitted model gives each document its expected grade and the tail
 probability P(grade >= 2), by which documents are selected.
 
 Grades come from the table of labels: 0 = poor quality, 1 = fair prose that is toxic, 2 = good and not toxic.
@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_map
-from .textkit import Words, buffer_of, mix, pieces
+from .textkit import Words, buffer_of, mix, pieces, prefix_hashes
 
 BITS = 18
+#: lengths in bytes of the beginnings of longer words that are features, too
+PREFIXES = (4, 6)
 GRADES = 3
 #: most labelled documents that the model is fitted on (a bounded sample: those with the smallest hashes of doc_id)
 FIT_ROWS = 8000
@@ -31,7 +33,7 @@ _MARK[[*range(33, 44), 47, *range(58, 65), *range(91, 97), *range(123, 127)]] =
 
 
 def features(data: np.ndarray, offsets: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashed feature of each document's distinct words and shape statistics, bounds by document)."""
+    """(hashed feature of each document's distinct words, beginnings of words and shape statistics, bounds by document)."""
     w = Words(data, offsets, first, last)
     n = last - first
     doc = w.doc - first
@@ -59,6 +61,7 @@ def features(data: np.ndarray, offsets: np.ndarray, first: int, last: int) -> tu
         np.minimum(12, np.log2(words + 1).astype(np.int64)) * 11 + np.minimum(10, distinct * 10 // np.maximum(words, 1)),
     )
     more = [np.arange(n) << BITS | (mix(np.uint64(1000 * i + 7) + np.asarray(s).astype(np.uint64)) >> np.uint64(64 - BITS)).astype(np.int64) for i, s in enumerate(stats)]
+    more += [doc[longer] << BITS | (h >> np.uint64(64 - BITS)).astype(np.int64) for longer, h in prefix_hashes(w, PREFIXES)]
     key = np.unique(np.concatenate([key, *more]))
     return key & ((1 << BITS) - 1), np.searchsorted(key >> BITS, np.arange(n + 1))
 

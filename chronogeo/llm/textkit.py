@@ -118,6 +118,21 @@ class Words:
         return grams(self.hash, self.bounds, n)
 
 
+def prefix_hashes(w: Words, sizes: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each size (the longer words of a piece, hashes of their first `size` bytes); letters A-Z are folded."""
+    lo, hi = int(w.offsets[w.first]), int(w.offsets[w.last])
+    power, inverse = _power(hi - lo + 1)
+    out = []
+    with np.errstate(over="ignore"):
+        s = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum((_FOLD[w.data[lo:hi]].astype(np.uint64) + np.uint64(1)) * power[: hi - lo], out=s[1:])
+        for size in sizes:
+            longer = np.flatnonzero(w.end - w.start > size)
+            at = w.start[longer] - lo
+            out.append((longer, mix((s[at + size] - s[at]) * inverse[at] + np.uint64(7919 * size))))
+    return out
+
+
 def grams(h: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(h) < n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
