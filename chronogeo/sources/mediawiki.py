@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 BATCH = 50
 #: what is asked for, by reader: the parameter that takes the names, and the fixed ones
-PAGES = ("titles", {"action": "query", "prop": "revisions", "rvprop": "content", "rvslots": "main"})
-ITEMS = ("titles", {"action": "query", "prop": "pageprops", "ppprop": "wikibase_item"})
+PAGES = ("titles", {"rvslots": "main", "rvprop": "content", "prop": "revisions", "action": "query"})
+ITEMS = ("titles", {"ppprop": "wikibase_item", "prop": "pageprops", "action": "query"})
 ENTITIES = ("ids", {"action": "wbgetentities", "props": "claims|sitelinks"})
 
 _VALUE = "array<struct<mainsnak:struct<datavalue:struct<value:struct<{}>>>>>"
