@@ -6,7 +6,9 @@ at every step, so that Jaccard is exact but for collisions of them (less than on
 
 1. Order. Grams go, packed, to one task per bucket of their hashes, where those of one set only end.  The others come back
    to their sets, with their document frequency, by which they are ordered.  What only one set has can't be shared, so
-   a set is dropped here if more of its grams than a match may miss are its own, and no text is read again.
+   a set is dropped here if more of its grams than a match may miss are its own, and no text is read again.  A task sends
+   each distinct set once, however many copies it has, and grams that would fill a share of a bucket by themselves, which
+   are few and known beforehand, go to their sets directly.
 2. Prefixes. A set of n grams may differ from a match in at most tau = n - ceil(THETA n) of its grams.  The prefix takes
    the grams of its own, then single grams of the rare class, and, where these do not suffice, is extended by pairs of grams of the frequent class
    (pairs inside partitions of the grams, whose number goes by the size of the sets, so that pairs stay few).  A
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +45,13 @@ HASH_BITS = 50
 PIECE_DOCS = 1 << 11
 #: most sets of one star that one task compares with each other
 STAR = 2048
+#: grams are hot that have more than one in HOT_SHARE of a bucket's entries, if buckets were equal, and are in one in HOT_SETS of all
+#: sets: there are at most HOT_SETS times as many of them as a set has grams
+HOT_SHARE, HOT_SETS = 8, 512
+#: a set of more than one HOTth of all documents is matched with them by a broadcast, of fewer than HOT rows
+HOT = 4096
+#: passes in which a bucket's grams are sorted
+PASSES = 4
 
 _HASH = np.uint64((1 << HASH_BITS) - 1)
 #: buckets of grams, at least: what a gram's bucket does not tell of it then fits 48 bits
@@ -104,46 +114,97 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(text).alias("row_key"), text.alias("text")).where("doc_id is not null")
 
 
-def survey(docs: DataFrame) -> DataFrame:
-    """(doc_id, row_key, digest) of each document's set; the digest is null for texts without words."""
+def _firsts(dig: np.ndarray, seen: set, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of the sets that have grams and that the task has not met."""
+    _, at = np.unique(dig, return_index=True)
+    out = [k for k in np.sort(at).tolist() if sizes[k] and int(dig[k]) not in seen]
+    seen.update(dig[out].tolist())
+    return np.array(out, np.int64)
 
-    def run(b: pa.RecordBatch):
-        data, off = buffer_of(b.column("text"))
-        for first, last in _pieces(off):
-            h, bounds = gram_sets(Words(data, off, first, last))
-            none = np.diff(bounds) == 0
-            yield pa.record_batch({"doc_id": b.column("doc_id")[first:last], "row_key": b.column("row_key")[first:last], "digest": pa.array(digests(h, bounds).view(np.int64), pa.int64(), mask=none)})
 
-    return arrow_map(_texts(docs), run, "doc_id long, row_key long, digest long")
+def _taken(h: np.ndarray, bounds: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, offsets) of some sets of a piece."""
+    n = np.diff(bounds)[sets]
+    at = np.repeat(bounds[sets] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    return h[at], np.concatenate([[0], np.cumsum(n)])
+
+
+def survey(docs: DataFrame, buckets: int) -> DataFrame:
+    """(doc_id, row_key, digest) of each document's set; the digest is null for texts without words. And, with a null doc_id, rows
+    of (digest: a gram, n, total): grams that are hot in a piece, and the number of its sets that have them; for the gram -1 the
+    piece's numbers of sets and of entries.
+
+    A gram that is hot in all texts is so in some piece at least, and the pieces in which it is not can hide no more than
+    half of what makes it hot, as pieces ask for half of that share.
+    """
+
+    def run(it):
+        seen: set = set()
+        for b in it:
+            data, off = buffer_of(b.column("text"))
+            for first, last in _pieces(off):
+                h, bounds = gram_sets(Words(data, off, first, last))
+                none = np.diff(bounds) == 0
+                dig = digests(h, bounds)
+                zero = i64(np.zeros(len(dig)))
+                yield pa.record_batch({"doc_id": b.column("doc_id")[first:last], "row_key": b.column("row_key")[first:last], "digest": pa.array(dig.view(np.int64), pa.int64(), mask=none), "n": zero, "total": zero})
+                sets = _firsts(dig, seen, np.diff(bounds))
+                own, _ = _taken(h, bounds, sets)
+                own.sort()
+                new = np.flatnonzero(np.append(True, own[1:] != own[:-1])[: len(own)])
+                n = np.diff(np.append(new, len(own)))
+                hot = n > max(1, len(own) / (2 * HOT_SHARE * buckets), len(sets) / (2 * HOT_SETS))
+                gram = np.concatenate([own[new[hot]].view(np.int64), [-1]])
+                none = pa.nulls(len(gram), pa.int64())
+                yield pa.record_batch({"doc_id": none, "row_key": none, "digest": i64(gram), "n": i64(np.append(n[hot], len(sets))), "total": i64(np.append(np.zeros(hot.sum()), len(own)))})
+
+    return _texts(docs).mapInArrow(tidied(run), "doc_id long, row_key long, digest long, n long, total long")
+
+
+def hot_grams(told: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(grams in order, their levels)."""
+    g = told.where("doc_id is null").groupBy("digest").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    every = g.where("digest = -1").first()
+    least = max(every["total"] / (2 * HOT_SHARE * buckets), every["n"] / (2 * HOT_SETS)) if every else 0
+    rows = g.where((F.col("digest") >= 0) & (F.col("n") > F.lit(max(1.0, least)))).select("digest", "n").toPandas().sort_values("digest")
+    return rows["digest"].to_numpy(np.int64).view(np.uint64), level_of(np.maximum(2, rows["n"].to_numpy(np.float64)))
 
 
 #: columns of the messages by which sets get their shared grams back
 RETURN = ("sets", "sizes", "counts", "low", "level")
-PACKED = "bucket int, sets binary, sizes binary, counts binary, sigs binary"
+PACKED = "bucket int, hot boolean, sets binary, sizes binary, counts binary, sigs binary"
 
 
-def _packed(it, buckets: int, whole: bool):
+def _packed(it, buckets: int, whole: bool, hot: np.ndarray | None = None):
     """Messages, one for each bucket, of signatures (in order of sets, `counts` of each set) from tuples (digests, sizes, counts, signatures).
 
     whole: bucket and message tell all of a signature, a gram of HASH_BITS bits; else 32 bits of it go, which is enough to
-    propose candidates.
+    propose candidates. hot: grams, in order, that go in messages of their own, by their places in hot, to their sets' buckets.
     """
 
     def flush():
         dig, size, count, sig = (np.concatenate(x) for x in zip(*held))
         n = np.uint64(buckets)
-        bucket = (sig % n if whole else (sig >> np.uint64(32)) % n).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+        doc = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        bucket = (sig % n if whole else (sig >> np.uint64(32)) % n).astype(np.int64)
+        low = sig // n if whole else sig.astype(np.uint32)
+        if hot is not None and len(hot):
+            at = np.minimum(np.searchsorted(hot, sig), len(hot) - 1)
+            is_hot = hot[at] == sig
+            low[is_hot] = at[is_hot].astype(np.uint64)
+            bucket[is_hot] = buckets + (dig % n)[doc[is_hot]].astype(np.int64)
+        bucket = bucket.astype(np.uint16 if buckets < 1 << 15 else np.uint32)
         order = np.argsort(bucket, kind="stable")
-        doc, low = np.repeat(np.arange(len(count), dtype=np.int32), count)[order], (sig // n if whole else sig.astype(np.uint32))[order]
-        edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        rows: dict[str, list] = {k: [] for k in ("bucket", "sets", "sizes", "counts", "sigs")}
+        doc, low = doc[order], low[order]
+        edge = np.searchsorted(bucket[order], np.arange(2 * buckets + 1))
+        rows: dict[str, list] = {k: [] for k in ("bucket", "hot", "sets", "sizes", "counts", "sigs")}
         for r in np.flatnonzero(np.diff(edge)):
             a, z = edge[r], edge[r + 1]
             new = np.flatnonzero(np.diff(doc[a:z], prepend=-1))
             d = doc[a:z][new]
-            for k, v in (("bucket", r), ("sets", dig[d].tobytes()), ("sizes", size[d].astype(np.int32).tobytes()), ("counts", np.diff(new, append=z - a).astype(np.int32).tobytes()), ("sigs", _six(low[a:z]) if whole else low[a:z].tobytes())):
+            for k, v in (("bucket", r % buckets), ("hot", r >= buckets), ("sets", dig[d].tobytes()), ("sizes", size[d].astype(np.int32).tobytes()), ("counts", np.diff(new, append=z - a).astype(np.int32).tobytes()), ("sigs", _six(low[a:z]) if whole else low[a:z].tobytes())):
                 rows[k].append(v)
-        return pa.record_batch({"bucket": pa.array(rows["bucket"], pa.int32()), **{k: pa.array(rows[k], pa.binary()) for k in ("sets", "sizes", "counts", "sigs")}})
+        return pa.record_batch({"bucket": pa.array(rows["bucket"], pa.int32()), "hot": pa.array(rows["hot"], pa.bool_()), **{k: pa.array(rows[k], pa.binary()) for k in ("sets", "sizes", "counts", "sigs")}})
 
     held, n = [], 0
     for x in it:
@@ -157,8 +218,8 @@ def _packed(it, buckets: int, whole: bool):
 
 
 def _postings(it, whole: bool):
-    """(digests of the sets, their sizes, signature by posting entry, set by entry, bucket) of a bucket's messages, in order of
-    signatures, without signatures of one set; None if nothing is left. whole: as in _packed()."""
+    """(digests of the sets, their sizes, signature by posting entry, set by entry, bucket) of a bucket's messages, with equal
+    signatures together, without signatures of one set; None if nothing is left. whole: as in _packed()."""
     cols = {k: [] for k in ("bucket", "sets", "sizes", "counts", "sigs")}
     for b in it:
         for k in cols:
@@ -172,19 +233,25 @@ def _postings(it, whole: bool):
     size_of = np.zeros(len(uniq), np.int64)
     size_of[of] = size
     if whole:
-        sig, member = _from_six(sig), np.repeat(of.astype(np.uint32), count)
-        order = np.argsort(sig)
-        same = np.append(False, sig[order[1:]] == sig[order[:-1]])
-        same[:-1] |= same[1:]
-        order = order[same]  # only those that occur again are put in full order
-        sig, member = sig[order], member[order]
-        order = np.lexsort((member, sig))
-        sig, member = sig[order], member[order]
-        new = np.append(True, (sig[1:] != sig[:-1]) | (member[1:] != member[:-1]))[: len(sig)]
-        sig, member = sig[new], member[new]
-        shared = np.append(False, sig[1:] == sig[:-1])[: len(sig)]
-        shared[:-1] |= shared[1:]
-        return (uniq, size_of, sig[shared], member[shared].astype(np.int64), bucket) if shared.any() else None
+        every, member_of = _from_six(sig), np.repeat(of.astype(np.uint32), count)
+        parts = []
+        for r in range(PASSES):  # a share of the signatures at a time, for memory
+            some = np.flatnonzero(every % np.uint64(PASSES) == r)
+            sig, member = every[some], member_of[some]
+            order = np.argsort(sig)
+            same = np.append(False, sig[order[1:]] == sig[order[:-1]])[: len(sig)]
+            same[:-1] |= same[1:]
+            order = order[same]  # only those that occur again are put in full order
+            sig, member = sig[order], member[order]
+            order = np.lexsort((member, sig))
+            sig, member = sig[order], member[order]
+            new = np.append(True, (sig[1:] != sig[:-1]) | (member[1:] != member[:-1]))[: len(sig)]
+            sig, member = sig[new], member[new]
+            shared = np.append(False, sig[1:] == sig[:-1])[: len(sig)]
+            shared[:-1] |= shared[1:]
+            parts.append((sig[shared], member[shared].astype(np.int64)))
+        sig, member = (np.concatenate(x) for x in zip(*parts))
+        return (uniq, size_of, sig, member, bucket) if len(sig) else None
     key = np.frombuffer(sig, np.uint32).astype(np.uint64)
     del sig
     key <<= np.uint64(32)
@@ -202,22 +269,35 @@ def level_of(df) -> np.ndarray:
     return np.minimum(255, 8 * np.log2(df)).astype(np.uint8)
 
 
-def repeated(docs: DataFrame, buckets: int, frequent: int) -> DataFrame:
+def repeated(docs: DataFrame, buckets: int, frequent: int, hot: np.ndarray, hot_level: np.ndarray) -> DataFrame:
     """(digest, size, rare, grams) of the sets that may have a match: their grams that other sets have, too, in order (the
-    first `rare` of them are of the rare class)."""
+    first `rare` of them are of the rare class). hot: see hot_grams()."""
+    shared = docs.sparkSession.sparkContext.broadcast((hot, hot_level))
 
     def emit(it):
         def parts():
+            seen: set = set()
             for b in it:
                 data, off = buffer_of(b.column("text"))
                 for first, last in _pieces(off):
                     h, bounds = gram_sets(Words(data, off, first, last))
-                    yield digests(h, bounds), np.diff(bounds), np.diff(bounds), h
+                    dig = digests(h, bounds)
+                    new = _firsts(dig, seen, np.diff(bounds))
+                    h, bounds = _taken(h, bounds, new)
+                    yield dig[new], np.diff(bounds), np.diff(bounds), h
 
-        yield from _packed(parts(), buckets, True)
+        yield from _packed(parts(), buckets, True, shared.value[0])
 
     def back(it):
-        p = _postings(it, True)
+        cold = []
+        for b in it:
+            is_hot = b.column("hot")
+            x = b.filter(is_hot)
+            if len(x):  # these are at their sets' buckets already
+                level = [shared.value[1][_from_six(y).astype(np.int64)].tobytes() for y in x.column("sigs").to_pylist()]
+                yield pa.record_batch({"goes": x.column("bucket"), "bucket": pa.array(np.full(len(x), -1, np.int32)), **{k: x.column(k) for k in ("sets", "sizes", "counts")}, "low": x.column("sigs"), "level": pa.array(level, pa.binary())})
+            cold.append(b.filter(pc.invert(is_hot)))
+        p = _postings(cold, True)
         if p is None:
             return
         uniq, size, sig, member, bucket = p
@@ -248,11 +328,21 @@ def repeated(docs: DataFrame, buckets: int, frequent: int) -> DataFrame:
         dig = np.frombuffer(b"".join(cols["sets"]), np.int64)
         size = np.frombuffer(b"".join(cols["sizes"]), np.int32).astype(np.int64)
         n = np.frombuffer(b"".join(cols["counts"]), np.int32)
-        bucket = np.repeat(np.array(cols["bucket"], np.uint64), [len(x) // 8 for x in cols["sets"]])
-        gram = _from_six(b"".join(cols["low"])) * np.uint64(buckets) + np.repeat(bucket, n)
+        bucket = np.repeat(np.array(cols["bucket"], np.int64), [len(x) // 8 for x in cols["sets"]])
+        bucket, gram = np.repeat(bucket, n), _from_six(b"".join(cols["low"]))
+        is_hot = bucket < 0
+        gram = gram * np.uint64(buckets) + np.maximum(bucket, 0).astype(np.uint64)
+        gram[is_hot] = shared.value[0][(gram[is_hot] // np.uint64(buckets)).astype(np.int64)]
         level = np.frombuffer(b"".join(cols["level"]), np.uint8)
         uniq, first, of = np.unique(dig, return_index=True, return_inverse=True)
         who = np.repeat(of, n)
+        at = np.flatnonzero(is_hot)  # several tasks may have sent the set
+        if len(at):
+            order = at[np.lexsort((gram[at], who[at]))]
+            twin = order[1:][(gram[order[1:]] == gram[order[:-1]]) & (who[order[1:]] == who[order[:-1]])]
+            one = np.ones(len(who), bool)
+            one[twin] = False
+            who, level, gram = who[one], level[one], gram[one]
         r = np.bincount(who, minlength=len(uniq))
         size = size[first]
         may = (r >= least_overlap(size)) & (size > 1)
@@ -329,7 +419,7 @@ def stars(sets: DataFrame, buckets: int) -> DataFrame:
                 sig, count = prefixes(h, bounds, size, np.asarray(b.column("rare")))
                 yield np.asarray(b.column("digest")).view(np.uint64), size, count, sig
 
-        yield from _packed(parts(), buckets, False)
+        yield from _packed(parts(), buckets, False, None)
 
     def reduce(it):
         p = _postings(it, False)
@@ -562,11 +652,13 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, int]:
     """(sets by document, representatives, shared grams by set, members of stars that may match, buckets)."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sets = cut(survey(docs).distinct())
+    wide = max(LEAST_BUCKETS, buckets // 2)
+    told = cut(survey(docs, wide))
+    sets = cut(told.where("doc_id is not null").select("doc_id", "row_key", "digest").distinct())
     rep = sets.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
     frequent = int(level_of(max(2.0, FREQUENT * sets.count())))
     # a set is named once in each bucket, so for all its grams there are fewer, larger ones
-    shared = cut(repeated(docs, max(LEAST_BUCKETS, buckets // 2), frequent))
+    shared = cut(repeated(docs, wide, frequent, *hot_grams(told, wide)))
     members = cut(membership(stars(shared, buckets), rep))
     return sets, rep, shared, cut(likely(shared, members, buckets)), buckets
 
@@ -599,7 +691,11 @@ def classes(docs: DataFrame) -> DataFrame:
     edges = found.where("digest <> root").select("digest", "root").distinct().join(rep, "digest").join(root, "root")
     group = components(edges.select(F.col("rep").alias("doc_a"), "doc_b").where("doc_a <> doc_b")).select(F.col("doc_id").alias("rep"), F.col("root").alias("least"))
     known = rep.join(links, "digest", "left").join(group, "rep", "left").select("digest", F.coalesce("least", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
-    return sets.join(known, "digest", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "row_key")
+    # sets of very many copies are few, as all rows are at most HOT times as many: their rows are not sent to one task
+    hot = F.broadcast(known.join(rep.where(F.col("n") > F.lit(sets.count() / HOT)).select("digest"), "digest", "left_semi"))
+    rest = sets.join(hot, "digest", "left_anti").join(known, "digest", "left")
+    every = rest.select("doc_id", "row_key", "class_id", "n_links").union(sets.join(hot, "digest").select("doc_id", "row_key", "class_id", "n_links"))
+    return every.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "row_key")
 
 
 def join(docs: DataFrame) -> DataFrame:

@@ -104,6 +104,15 @@ def test_jaccard_join_is_exact(spark, copies, monkeypatch):
         monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
         assert {(r.doc_a, r.doc_b): r.jaccard for r in jaccard_join.join(df).collect()} == want
         assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.classes(df).collect()} == brute_classes(copies, want)
+    monkeypatch.setattr(jaccard_join, "HOT_SHARE", 500)  # many grams are hot; and so are copies, of which tasks send one
+    more = copies + [(1000 + k, t) for k in range(3) for _, t in copies[:40]]
+    more = [(k, t) for k, (_, t) in enumerate(more)]
+    df = spark.createDataFrame(more, "doc_id long, text string").repartition(3)
+    buckets = max(jaccard_join.LEAST_BUCKETS, 2)
+    assert len(jaccard_join.hot_grams(jaccard_join.survey(df, buckets), buckets)[0]) > 50
+    want = brute_pairs(more)
+    assert {(r.doc_a, r.doc_b): r.jaccard for r in jaccard_join.join(df).collect()} == want
+    assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.classes(df).collect()} == brute_classes(more, want)
 
 
 def test_jaccard_of_long_texts(spark):
