@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..model import with_missing_columns
+from ..model import EVENTS, with_missing_columns
 
 SEED_COLUMNS = ("title", "blurb", "date_start", "date_precision", "lat", "lng", "scope", "category", "notability", "source_url", "source_ids", "ingest_version")
 
@@ -94,3 +94,15 @@ def reset(df: DataFrame, column: str, cond: Column | None = None) -> DataFrame:
     """A derived column set to null, for all rows or those that a condition holds for, before it is derived anew."""
     gone = F.lit(True) if cond is None else F.coalesce(cond, F.lit(False))
     return df.withColumn(column, F.when(~gone, F.col(column)))
+
+
+def write_events(events: DataFrame, path: str, files: int | None = None) -> None:
+    """The table of events as Parquet, in the stored layout, by ranges of dates and sorted, so that years are found by row groups."""
+    e = with_missing_columns(events).select(*EVENTS.names)
+    by = [files, "date_start"] if files else ["date_start"]
+    e.repartitionByRange(*by).sortWithinPartitions("date_start", "id").write.mode("overwrite").parquet(path)
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """The table of events in today's layout, whatever columns it was written with."""
+    return with_missing_columns(spark.read.option("mergeSchema", "true").parquet(path)).select(*EVENTS.names)

@@ -142,6 +142,7 @@ UNION ALL SELECT page, 6, year::INT, year || '-08-01', 'month', page || ' signs
 i AS (SELECT id, field, unnest(ws) AS token, unnest(range(len(ws))) AS pos FROM p) SELECT token, field, count(*) AS n, count(DISTINCT id) AS df, max(pos)::INT AS last FROM i WHERE token <> '' GROUP BY ALL""",
     "search_near": f"""WITH {RAW} SELECT id, title, notability, date_start FROM raw WHERE starts_with({_B}, ' university ') AND regexp_matches({_B}, ' university (?:[^ ]+ ){{0,2}}canada | canada (?:[^ ]+ ){{0,2}}university ')
  OR contains({_T}, ' place 7 ') OR contains({_T}, ' 7 place ') OR starts_with({_B}, ' state of ') {_SHOW}""",
+    "scan_events": f"WITH {RAW} SELECT id, title, date_start, category, scope, NULL::DOUBLE AS significance, NULL::VARCHAR AS founding_kind FROM raw WHERE date_start >= '1850' AND date_start < '1870'",
     "search_scan": f"WITH {RAW} SELECT id, title, notability, date_start FROM raw WHERE {_has(' city ')} AND {_has(' nevada ')} {_SHOW}",
     "timeline_answers": f"""WITH {kept()}, t AS (SELECT person, count(*) AS total_matched FROM m GROUP BY person),
 g AS (SELECT person, count(*) AS n, string_agg(id, ',' ORDER BY lo, id) AS ids, string_agg(title, '|' ORDER BY lo, id) AS titles, sum(score) AS score, sum(segment_index)::BIGINT AS later FROM k GROUP BY person)

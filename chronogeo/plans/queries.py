@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from ..operators import curate, graph, report, search, store
 from ..operators import timeline as T
 from ..sources import dump, mediawiki, seed, wikitext
 from ..sources.fixtures import classified, geo_events, requests, scored_events, scored_table
-from ..storage import stored
+from ..storage import delete_on_exit, shared_dir, stored
 from ..streaming.limiter import limited
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -702,3 +703,12 @@ def seed_rows(spark, d):
     files = seed.json_files(seed.without_ids(raw.drop("k"), named))
     rows = files.select("file", F.explode(F.from_json("json", f"array<struct<{seed.RAW.replace(' string', ':string').replace(' double', ':double')}>>")).alias("r")).select("file", "r.*")
     return seed.seeds(rows).select("id", "title", "date_start", "scope", "notability", F.get_json_object("source_ids", "$.seed").alias("file"))
+
+
+@register
+def scan_events(spark, d):
+    """The events written, and read again for some years."""
+    path = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}"
+    store.write_events(geo_events(spark, d), path, 8)
+    delete_on_exit(spark, path)
+    return store.read_events(spark, path).where("date_start >= '1850' and date_start < '1870'").select("id", "title", "date_start", "category", "scope", "significance", "founding_kind")
