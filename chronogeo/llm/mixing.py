@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import small, table
+from .common import cut, table
 
 BLOCK_TOKENS = 2048
 SEED = 42
@@ -105,7 +105,7 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, tokens: int | No
     order gives the same blocks); a long document spans as many blocks as it needs; the last block of a source is short.
     Extra columns are not read. Empty tables give an empty result.
     """
-    d = documents_of(docs)
+    d = cut(documents_of(docs))  # texts are counted and hashed once; what goes on is a few numbers a document
     slots, _ = schedule(d, weights, tokens)
     slots = slots.withColumn("block", F.expr("rank % blocks")).withColumn("epoch", F.expr("rank div blocks"))
     out = slots.join(pieces_of(placed(d)), ["source", "block"])
