@@ -43,6 +43,8 @@ THETA = (3, 5)
 FREQUENT = 0.005
 HASH_BITS = 50
 PIECE_DOCS = 1 << 11
+#: signatures that a task holds before it packs and sends them
+FLUSH = 500_000
 #: most sets of one star that one task compares with each other
 STAR = 2048
 #: grams are hot that have more than one in HOT_SHARE of a bucket's entries, if buckets were equal, and are in one in HOT_SETS of all
@@ -186,13 +188,14 @@ def _packed(it, buckets: int, whole: bool, hot: np.ndarray | None = None):
         dig, size, count, sig = (np.concatenate(x) for x in zip(*held))
         n = np.uint64(buckets)
         doc = np.repeat(np.arange(len(count), dtype=np.int32), count)
-        bucket = (sig % n if whole else (sig >> np.uint64(32)) % n).astype(np.int64)
+        bucket = (sig % n if whole else (sig >> np.uint64(32)) % n).astype(np.uint32)
         low = sig // n if whole else sig.astype(np.uint32)
         if hot is not None and len(hot):
             at = np.minimum(np.searchsorted(hot, sig), len(hot) - 1)
             is_hot = hot[at] == sig
             low[is_hot] = at[is_hot].astype(np.uint64)
-            bucket[is_hot] = buckets + (dig % n)[doc[is_hot]].astype(np.int64)
+            bucket[is_hot] = buckets + (dig % n)[doc[is_hot]].astype(np.uint32)
+            del at, is_hot
         bucket = bucket.astype(np.uint16 if buckets < 1 << 15 else np.uint32)
         order = np.argsort(bucket, kind="stable")
         doc, low = doc[order], low[order]
@@ -210,7 +213,7 @@ def _packed(it, buckets: int, whole: bool, hot: np.ndarray | None = None):
     for x in it:
         held.append(x)
         n += len(x[3])
-        if n > 2_000_000:
+        if n > FLUSH:
             yield flush()
             held, n = [], 0
     if held:
@@ -289,15 +292,22 @@ def repeated(docs: DataFrame, buckets: int, frequent: int, hot: np.ndarray, hot_
         yield from _packed(parts(), buckets, True, shared.value[0])
 
     def back(it):
-        cold = []
-        for b in it:
-            is_hot = b.column("hot")
-            x = b.filter(is_hot)
-            if len(x):  # these are at their sets' buckets already
+        there = []
+
+        def cold():
+            for b in it:
+                is_hot = b.column("hot")
+                if not is_hot.true_count:
+                    yield b
+                    continue
+                x = b.filter(is_hot)  # these are at their sets' buckets already
                 level = [shared.value[1][_from_six(y).astype(np.int64)].tobytes() for y in x.column("sigs").to_pylist()]
-                yield pa.record_batch({"goes": x.column("bucket"), "bucket": pa.array(np.full(len(x), -1, np.int32)), **{k: x.column(k) for k in ("sets", "sizes", "counts")}, "low": x.column("sigs"), "level": pa.array(level, pa.binary())})
-            cold.append(b.filter(pc.invert(is_hot)))
-        p = _postings(cold, True)
+                there.append(pa.record_batch({"goes": x.column("bucket"), "bucket": pa.array(np.full(len(x), -1, np.int32)), **{k: x.column(k) for k in ("sets", "sizes", "counts")}, "low": x.column("sigs"), "level": pa.array(level, pa.binary())}))
+                yield b.filter(pc.invert(is_hot))
+
+        p = _postings(cold(), True)
+        while there:
+            yield there.pop()
         if p is None:
             return
         uniq, size, sig, member, bucket = p
@@ -328,16 +338,19 @@ def repeated(docs: DataFrame, buckets: int, frequent: int, hot: np.ndarray, hot_
         dig = np.frombuffer(b"".join(cols["sets"]), np.int64)
         size = np.frombuffer(b"".join(cols["sizes"]), np.int32).astype(np.int64)
         n = np.frombuffer(b"".join(cols["counts"]), np.int32)
-        bucket = np.repeat(np.array(cols["bucket"], np.int64), [len(x) // 8 for x in cols["sets"]])
-        bucket, gram = np.repeat(bucket, n), _from_six(b"".join(cols["low"]))
-        is_hot = bucket < 0
-        gram = gram * np.uint64(buckets) + np.maximum(bucket, 0).astype(np.uint64)
-        gram[is_hot] = shared.value[0][(gram[is_hot] // np.uint64(buckets)).astype(np.int64)]
-        level = np.frombuffer(b"".join(cols["level"]), np.uint8)
+        bucket = np.repeat(np.array(cols["bucket"], np.int32), [len(x) // 8 for x in cols.pop("sets")])
+        bucket, gram = np.repeat(bucket, n), _from_six(b"".join(cols.pop("low")))
+        at = np.flatnonzero(bucket < 0)
+        hot_gram = shared.value[0][gram[at].astype(np.int64)]
+        bucket[at] = 0
+        gram *= np.uint64(buckets)
+        np.add(gram, bucket, out=gram, dtype=np.uint64, casting="unsafe")
+        gram[at] = hot_gram
+        del bucket, hot_gram
+        level = np.frombuffer(b"".join(cols.pop("level")), np.uint8)
         uniq, first, of = np.unique(dig, return_index=True, return_inverse=True)
         who = np.repeat(of, n)
-        at = np.flatnonzero(is_hot)  # several tasks may have sent the set
-        if len(at):
+        if len(at):  # several tasks may have sent the set
             order = at[np.lexsort((gram[at], who[at]))]
             twin = order[1:][(gram[order[1:]] == gram[order[:-1]]) & (who[order[1:]] == who[order[:-1]])]
             one = np.ones(len(who), bool)
@@ -652,7 +665,7 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, int]:
     """(sets by document, representatives, shared grams by set, members of stars that may match, buckets)."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wide = max(LEAST_BUCKETS, buckets // 2)
+    wide = max(LEAST_BUCKETS, min(buckets, max(16, buckets // 2)))
     told = cut(survey(docs, wide))
     sets = cut(told.where("doc_id is not null").select("doc_id", "row_key", "digest").distinct())
     rep = sets.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
