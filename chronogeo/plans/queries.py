@@ -17,7 +17,7 @@ from ..operators import curate, graph, report, search, store
 from ..operators import timeline as T
 from ..sources import dump, mediawiki, seed, wikitext
 from ..sources.fixtures import classified, geo_events, requests, scored_events, scored_table
-from ..storage import delete_on_exit, shared_dir, stored
+from ..storage import delete_on_exit, shared_dir, spread, stored
 from ..streaming.limiter import limited
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -684,7 +684,8 @@ def dump_lines(spark, d):
             _snak(F.struct(F.concat(F.lit("+"), (1500 + k % 500).cast("string"), F.lit("-00-00T00:00:00Z")).alias("time"), F.lit(9).alias("precision"))).alias("P585"),
         ).alias("claims"),
     )
-    lines = table(spark, d, "part").select(F.concat(F.to_json(body), F.lit(",")).alias("value")).union(spark.createDataFrame([("[",), ("]",), ("",), ("{broken",)], "value string"))
+    parts = spread(table(spark, d, "part"), "p_partkey")  # few row groups would be few tasks
+    lines = parts.select(F.concat(F.to_json(body), F.lit(",")).alias("value")).union(spark.createDataFrame([("[",), ("]",), ("",), ("{broken",)], "value string"))
     e = dump.entities(lines)
     return e.select("qid", "title", "blurb", "sitelinks", F.array_join("types", "|").alias("types"), F.col("own.lat").alias("lat"), F.col("P585.time").alias("time"))
 

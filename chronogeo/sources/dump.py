@@ -36,8 +36,9 @@ def entities(lines: DataFrame, partitions: int | None = None) -> DataFrame:
     if partitions:
         lines = lines.repartition(partitions)
     body = F.regexp_replace(F.trim("value"), r",$", "")
-    e = lines.where(body.startswith("{")).select(F.from_json(body, ENTITY).alias("e")).select("e.*")
-    e = e.where((F.col("type") == "item") & F.col("id").startswith("Q"))
+    # a filter above from_json would be pushed below it, with a parse of its own for each field that it names
+    wanted = F.filter(F.array(F.from_json(body, ENTITY)), lambda x: (x["type"] == "item") & x["id"].startswith("Q"))
+    e = lines.where(F.ltrim("value").startswith("{")).select(F.inline(wanted))
     value = lambda p: F.get(F.col(f"claims.{p}"), 0)["mainsnak"]["datavalue"]["value"]
     every = lambda p: F.filter(F.transform(F.col(f"claims.{p}"), lambda c: c["mainsnak"]["datavalue"]["value"]["id"]), lambda x: x.isNotNull())
     place = value("P625")

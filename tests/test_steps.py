@@ -3,9 +3,17 @@
 from pyspark.sql import functions as F
 
 from chronogeo.operators.timeline import segment_errors
+from chronogeo.sources import dump
 
 
 def test_segments_are_spread(spark):
     s = spark.createDataFrame([(f"p{k}", 0, 1.0, 1.0, "nonsense" if k % 2 else "1900", "1901") for k in range(400)], "person string, segment_index int, seg_lat double, seg_lng double, seg_start string, seg_end string").coalesce(1)
     out = segment_errors(s).withColumn("task", F.spark_partition_id()).collect()
     assert len(out) == 200 and len({r.task for r in out}) == 4
+
+
+def test_lines_are_parsed_once(spark):
+    lines = spark.createDataFrame([('{"id": "Q1", "type": "item"},',), ('{"id": "P1", "type": "property"}',), ("{broken",), ('  {"id": "Q2", "type": "item"}',), (None,)], "value string")
+    e = dump.entities(lines)
+    assert sorted(r.qid for r in e.collect()) == ["Q1", "Q2"]
+    assert e._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
