@@ -249,9 +249,19 @@ def index_of(df: DataFrame, key: str, columns: tuple[str, ...]) -> DataFrame:
     return out.where("token <> ''").select("token", "id", "field", "pos")
 
 
-def write_index(index: DataFrame, path: str, files: int = 64) -> None:
+#: rows of the index that a task sorts, about
+FILE_ROWS = 1_000_000
+
+
+def in_ranges(index: DataFrame, files: int | None = None) -> DataFrame:
+    """The index in ranges of tokens, so many that their size does not grow with it. Ids part the rows of a token that fills more than a
+    range: by the token alone the commonest one would be a single task."""
+    return index.repartitionByRange(files or max(8, -(-index.count() // FILE_ROWS)), "token", "id")
+
+
+def write_index(index: DataFrame, path: str, files: int | None = None) -> None:
     """The index as Parquet, in ranges of tokens and sorted, so that a lookup reads the row groups of its tokens."""
-    index.repartitionByRange(files, "token").sortWithinPartitions("token").write.mode("overwrite").parquet(path)
+    in_ranges(index, files).sortWithinPartitions("token").write.mode("overwrite").parquet(path)
 
 
 def _leaves(tree) -> list:
@@ -297,7 +307,7 @@ def found(index: DataFrame, query: str, columns: tuple[str, ...] = ("title", "bl
 
 def search_by(index: DataFrame, events: DataFrame, query: str, limit: int = 25) -> DataFrame:
     """search(), with the ids from the index."""
-    rows = events.join(found(index, query), "id", "left_semi")
+    rows = events.join(found(index, query).hint("shuffle_hash"), "id", "left_semi")  # the ids alone are held, and no event is sorted
     return rows.orderBy(F.desc_nulls_last("notability"), F.asc_nulls_first("date_start"), "id").limit(min(100, max(1, limit)))
 
 

@@ -519,7 +519,8 @@ def event_index(spark, d) -> DataFrame:
     """The inverted index of the events, written once by each application."""
     key = spark.sparkContext.applicationId, d
     if key not in _indexes:
-        _indexes[key] = stored(search.index_of(geo_events(spark, d), "id", ("title", "blurb")).repartitionByRange(8, "token"), "token")
+        raw = stored(search.index_of(geo_events(spark, d), "id", ("title", "blurb")))  # read to count, to find ranges and to sort: made once
+        _indexes[key] = stored(search.in_ranges(raw), "token")
     return _indexes[key]
 
 

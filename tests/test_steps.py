@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from chronogeo.operators import search
 from chronogeo.operators.timeline import segment_errors
 from chronogeo.sources import dump
 
@@ -17,3 +18,12 @@ def test_lines_are_parsed_once(spark):
     e = dump.entities(lines)
     assert sorted(r.qid for r in e.collect()) == ["Q1", "Q2"]
     assert e._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_a_common_token_is_many_tasks(spark, monkeypatch):
+    t = spark.range(6000).select(F.concat(F.lit("e"), "id").alias("id"), F.lit("place").alias("title"), F.lit(None).cast("string").alias("blurb"))
+    monkeypatch.setattr(search, "FILE_ROWS", 500)
+    index = search.in_ranges(search.index_of(t, "id", ("title", "blurb")))
+    sizes = [r["count"] for r in index.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 2000 and sum(sizes) == 6000
+    assert search.found(index, "place").count() == 6000
