@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..model import PERSON
 from .classify import is_institution
-from .columns import decade_of, half_up, pick
+from .columns import decade_of, half_up, let, pick
 
 #: notability from which a category's row is global, national, regional; None: never; the last is what is left
 LADDER = {
@@ -76,9 +76,11 @@ def decade_percentile(events: DataFrame) -> DataFrame:
 
 def with_scope(events: DataFrame) -> DataFrame:
     """Scope by the ladder; curated rows keep the one that their author gave."""
-    ladder = scope_ladder(F.col("category"), F.col("notability"), F.col("founding_kind"), F.col("blurb"))
     authored = is_seed(F.col("ingest_version")) & F.coalesce(F.col("scope") != "", F.lit(False))
-    return events.withColumn("scope", F.when(authored, F.col("scope")).otherwise(ladder))
+    # by let, apart from the method that is generated for all columns: with the ladder that would be too long for Java to compile
+    read = F.struct("category", "notability", "founding_kind", "blurb", F.when(authored, F.col("scope")).alias("own"))
+    ladder = let(read, lambda v: F.coalesce(v["own"], scope_ladder(v["category"], v["notability"], v["founding_kind"], v["blurb"])))
+    return events.withColumn("scope", ladder)
 
 
 def reach_km(scope: Column, significance: Column) -> Column:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -58,5 +59,6 @@ def stored(df: DataFrame, *order: str) -> DataFrame:
 
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """df in as many tasks as shuffles have, by the columns by. For rows that are small but costly to work on: a number that is given is
-    kept, while an exchange without one is coalesced by its bytes, to a task or two."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+    kept, while an exchange without one is coalesced by its bytes, to a task or two. By a hash of the columns: where df is grouped by
+    them already, an exchange by the columns themselves would be left out of the plan, and with it the number."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*by))

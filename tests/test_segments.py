@@ -9,6 +9,7 @@ from chronogeo.functions.columns import parse_date
 from chronogeo.functions.scoring import scope_ladder
 from chronogeo.model import TIERS, EngineConfig
 from chronogeo.operators import timeline
+from chronogeo.storage import spread
 
 SEGMENTS = "person string, segment_index int, seg_lat double, seg_lng double, seg_start string, seg_end string"
 EVENTS = """id string, title string, display_title string, blurb string, date_start string, date_end string, date_precision string, lat double, lng double, reach_km double, scope string, significance double, category string,
@@ -80,3 +81,9 @@ def test_the_ladder_by_table(spark):
     given = [("conflict", 0.6), ("conflict", 0.1), ("election", 0.9), ("election", None), ("treaty", 0.2), ("birth", 1.0), ("other", 0.6), (None, 0.9), ("discovery", float("nan")), ("election", float("nan"))]
     d = spark.createDataFrame(given, "c string, n double").select(scope_ladder(F.col("c"), F.col("n"), F.lit(None).cast("string"), F.lit("x")).alias("s")).collect()
     assert [r.s for r in d] == ["global", "local", "national", "regional", "regional", "local", "national", "national", "global", "national"]
+
+
+def test_spread_keeps_its_number_after_a_grouping(spark):
+    # before, the exchange was left out of the plan as the groups were by the same column, and theirs was coalesced to one task
+    d = spread(spark.range(400).withColumn("p", F.concat(F.lit("p"), "id")).groupBy("p").count(), "p")
+    assert len({r.t for r in d.select(F.spark_partition_id().alias("t")).collect()}) == 4
