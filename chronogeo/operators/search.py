@@ -270,8 +270,16 @@ def _leaves(tree) -> list:
     return list(tree[1]) if tree[0] == "near" else _leaves(tree[1]) + _leaves(tree[2])
 
 
+#: hits of a query that a task gathers, about
+HITS = 500_000
+
+
 def found(index: DataFrame, query: str, columns: tuple[str, ...] = ("title", "blurb"), key: str = "id") -> DataFrame:
-    """The ids that match, by the index alone: one read of the query's tokens, and two aggregations by id."""
+    """The ids that match, by the index alone: one read of the query's tokens, and two aggregations by id.
+
+    Hits are counted and sent to so many tasks that none gets more with a larger index: an exchange without a number would be coalesced
+    by its bytes, and hits take few of these, but much memory where they are gathered.
+    """
     tree = parse(query)
     leaves = _leaves(tree)
     # every (phrase, place in it) that a token can be at
@@ -286,7 +294,9 @@ def found(index: DataFrame, query: str, columns: tuple[str, ...] = ("title", "bl
     any_hit = spots[0][0]
     for hit, _ in spots[1:]:
         any_hit = any_hit | hit
-    rows = index.where(any_hit).select(key, "field", F.explode(F.filter(F.array(*[F.when(hit, spot) for hit, spot in spots]), lambda x: x.isNotNull())).alias("s"))
+    hits = index.where(any_hit)
+    tasks = max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-hits.count() // HITS))
+    rows = hits.repartition(tasks, key).select(key, "field", F.explode(F.filter(F.array(*[F.when(hit, spot) for hit, spot in spots]), lambda x: x.isNotNull())).alias("s"))
     size = F.get(F.array(*[F.lit(len(x[1])) for x in leaves]), F.col("leaf"))
     whole = rows.select(key, "field", "s.*").groupBy(key, "field", "leaf", "start").agg(F.count_distinct("k").alias("n")).where(F.col("n") == size)
     place = F.struct("field", "start")
